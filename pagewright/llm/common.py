@@ -50,6 +50,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value computed once for a row, also where f uses it inside higher-order functions."""
+    return F.transform(F.array(value), f)[0]
+
+
 def words(text: Column) -> Column:
     """Array of the lower-cased words of a text."""
     return F.filter(F.split(ascii_lower(text), SPACES), lambda w: w != F.lit(""))

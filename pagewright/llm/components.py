@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import cut, drop_cut
@@ -35,10 +35,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "cc")
     mark = None
     for _ in range(most_rounds):
-        after = cut(_small(_large(now)), "cc")
+        told = Observation()
+        marks = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
+        after = cut(_small(_large(now)).observe(told, *marks), "cc")
         drop_cut(now)
         now = after
-        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        seen = tuple(told.get.values())
         if seen == mark:
             break
         mark = seen

@@ -112,3 +112,10 @@ def mix(docs: DataFrame, most: int = MOST, buckets: int = 64) -> DataFrame:
     j = j.withColumn("copies", F.coalesce("copies", F.lit(1)))
     out = join_on(j, F.broadcast(goals) if goals.count() <= 10_000 else goals, ["source"], "left")
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies", "rate")
+
+
+def apply_mix(docs: DataFrame, most: int = MOST) -> DataFrame:
+    """docs with every row repeated (or left out) as mix() says; rows of one doc_id get the same number of copies."""
+    times = mix(docs, most).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies"))
+    out = join_on(docs, times, ["doc_id"])
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(docs.columns)

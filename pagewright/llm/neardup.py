@@ -8,9 +8,10 @@ where it branches on `PICKS` tokens: records with the same token share a node. W
    each record's smallest such partner is confirmed on full sets. This joins copies by the thousand
    with a linear number of comparisons.
 2. Nodes whose records are all joined already have nothing to add and end. Nodes of at most `NODE`
-   records are compared exhaustively (sketch first, then full sets). Larger nodes branch again on
-   `PICKS` tokens chosen by the node's hash; what is still large at depth `DEPTH` is compared in
-   blocks of `NODE` / 2 records, each block against each.
+   records are compared exhaustively (sketch first, then full sets). A larger node in which all but
+   `NODE` records are joined already is cut into pieces of the joined ones, each compared with all
+   the others. Other nodes branch again on `PICKS` tokens chosen by the node's hash; what is still
+   large at depth `DEPTH` is compared in blocks of `NODE` / 2 records, each block against each.
 
 At similarity s a node keeps a linked pair together with probability at least the fixed point of
 q = 1 - (1 - s q)^PICKS per tree, 0.889 at s = 0.75, at any depth, so six trees miss at most
@@ -20,6 +21,7 @@ q = 1 - (1 - s q)^PICKS per tree, 0.889 at s = 0.75, at any depth, so six trees
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,9 @@ from pagewright.llm.components import components
 from pagewright.llm.shingles import mix, shingle_set
 
 TREES, PICKS, COORDS, FUNCTIONS = 6, 2, 40, 128
-NODE, DEPTH = 64, 5
+NODE, DEPTH = 256, 6
+#: Words of 64 bits in the table of wanted ids that texts are filtered by before they are shuffled.
+FILTER = 1 << 18
 #: Sketch bits that agree: 112 of 128 are expected at similarity 0.75, with a deviation of 3.7; 93 is five deviations below.
 AGREE = 93
 _rng = np.random.default_rng(20240607)
@@ -85,10 +89,15 @@ def agreement(a0, a1, b0, b1):
     return F.lit(128) - F.bit_count(a0.bitwiseXOR(b0)) - F.bit_count(a1.bitwiseXOR(b1))
 
 
-def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fits(n, m, alike: int):
+    """Whether two sets of these sizes can reach the similarity at all."""
+    return F.lit(100) * F.least(n, m) >= F.lit(alike) * F.greatest(n, m)
+
+
+def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node: pairs of one node that are in different components and agree by sketch."""
     held = None
-    names = ["node", "rec", "comp", "s0", "s1", "side"]
+    names = ["node", "rec", "comp", "s0", "s1", "n_shingles"]
 
     def compare(rows: np.ndarray) -> list[np.ndarray]:
         out = []
@@ -99,7 +108,9 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             g = rows[p:q]
             s = np.ascontiguousarray(g[:, 3:5]).view(np.uint64)
             same = 128 - np.bitwise_count(s[:, None, :] ^ s[None, :, :]).sum(axis=2, dtype=np.int32)
-            ok = (same >= AGREE) & (g[:, 2][:, None] != g[:, 2][None, :]) & (g[:, 1][:, None] < g[:, 1][None, :])
+            n = g[:, 5]
+            fits = 100 * np.minimum(n[:, None], n[None, :]) >= alike * np.maximum(n[:, None], n[None, :])
+            ok = (same >= AGREE) & fits & (g[:, 2][:, None] != g[:, 2][None, :]) & (g[:, 1][:, None] < g[:, 1][None, :])
             i, j = np.nonzero(ok)
             if len(i):
                 out.append(np.stack([g[i, 1], g[j, 1]], axis=1))
@@ -110,7 +121,7 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[:, 0])), pa.array(np.ascontiguousarray(x[:, 1]))], names=["a", "b"])
 
     for batch in batches:
-        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names[:5]], axis=1)
+        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1)
         if held is not None:
             rows = np.concatenate([held, rows])
         if not len(rows):
@@ -123,10 +134,23 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield table(found)
 
 
+def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without most of the rows whose doc_id is not in ids: one hash bit each, in a table of at most FILTER rows.
+
+    The table has this size at any number of ids, so it can be broadcast; the more ids, the less it holds back.
+    """
+    word = lambda c: F.pmod(F.shiftright(F.xxhash64(c), 6), F.lit(FILTER))
+    bit = lambda c: F.expr(f"shiftleft(1L, cast(xxhash64({c}) & 63 as int))")
+    table = ids.select(word("doc_id").alias("__w"), bit("doc_id").alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
+    j = docs.withColumn("__w", word("doc_id")).join(F.broadcast(table), "__w")
+    return j.filter(F.col("__bits").bitwiseAND(bit("doc_id")) != 0).select(docs.columns)
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, alike: int = 75) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= alike * union."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_sets, "rec long, found array<long>")
+    ids = cut(ids, "neardup-ids")
+    sets = maybe_in(docs.select("doc_id", "text"), ids).join(ids, "doc_id", "left_semi").mapInArrow(_sets, "rec long, found array<long>")
     sets = cut(sets, "neardup-sets")
     left, right = sets.select(F.col("rec").alias("a"), F.col("found").alias("x")), sets.select(F.col("rec").alias("b"), F.col("found").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -149,39 +173,59 @@ def near_duplicates(docs: DataFrame, alike: int = 75) -> DataFrame:
     signed = cut(docs.mapInArrow(_sign, SIGNED), "neardup-signed")
     known = signed.filter("doc_id is not null and n_shingles > 0")
     groups = known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rec"), F.max("doc_id").alias("last"))
-    recs = cut(known.join(groups.select(F.col("rec").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rec"), "s0", "s1", "tokens"), "neardup-records")
+    recs = cut(known.join(groups.select(F.col("rec").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rec"), "n_shingles", "s0", "s1", "tokens"), "neardup-records")
 
     # first-level nodes: tree, pick and token decide
-    first = recs.select("rec", "s0", "s1", F.posexplode(F.slice("tokens", 1, TREES * PICKS)).alias("pick", "token"))
-    first = first.select(F.xxhash64("pick", "token").alias("node"), F.floor(F.col("pick") / PICKS).cast("int").alias("tree"), "rec", "s0", "s1")
-    least = first.groupBy("node").agg(F.min(F.struct("rec", "s0", "s1")).alias("m"), F.count("*").alias("n")).filter("n > 1")
-    least = least.select(F.col("node").alias("k"), F.col("m.rec").alias("p"), F.col("m.s0").alias("p0"), F.col("m.s1").alias("p1"))
-    star = first.join(least, first["node"] == least["k"]).filter((F.col("p") < F.col("rec")) & (agreement(F.col("s0"), F.col("s1"), F.col("p0"), F.col("p1")) >= AGREE))
+    first = recs.select("rec", "n_shingles", "s0", "s1", F.posexplode(F.slice("tokens", 1, TREES * PICKS)).alias("pick", "token"))
+    first = first.select(F.xxhash64("pick", "token").alias("node"), F.floor(F.col("pick") / PICKS).cast("int").alias("tree"), "rec", "n_shingles", "s0", "s1")
+    least = first.groupBy("node").agg(F.min(F.struct("rec", "n_shingles", "s0", "s1")).alias("m"), F.count("*").alias("n")).filter("n > 1")
+    least = least.select(F.col("node").alias("k"), F.col("m.rec").alias("p"), F.col("m.n_shingles").alias("pn"), F.col("m.s0").alias("p0"), F.col("m.s1").alias("p1"))
+    star = first.join(least, first["node"] == least["k"]).filter((F.col("p") < F.col("rec")) & _fits(F.col("n_shingles"), F.col("pn"), alike) & (agreement(F.col("s0"), F.col("s1"), F.col("p0"), F.col("p1")) >= AGREE))
     star = cut(star.groupBy(F.col("rec").alias("b")).agg(F.min("p").alias("a")).select("a", "b"), "neardup-star")
     links = confirm(star, docs, alike)
-    comps = cut(components(links), "neardup-comps")
+    # every record has one link upwards; two steps along them name most components, which is all that pruning needs
+    up = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    top = up.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    labels = cut(up.join(top, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "neardup-labels")
 
-    pairs, tries = _deeper(recs, comps)
+    pairs = _deeper(recs, labels, alike)
     more = confirm(pairs.join(star, ["a", "b"], "left_anti"), docs, alike)
-    same = known.join(groups.filter("last > rec"), ["d1", "d2", "n_shingles"]).select(F.col("rec").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
-    whole = components(links.union(more).union(same))
-    out = signed.select("doc_id", "n_shingles").join(whole, signed["doc_id"] == whole["node"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    whole = components(links.union(more))
+    copies = known.join(groups.filter("last > rec"), ["d1", "d2", "n_shingles"]).select("doc_id", "rec").filter("doc_id <> rec").distinct()
+    out = signed.select("doc_id", "n_shingles").join(copies, "doc_id", "left").withColumn("rec", F.coalesce("rec", "doc_id"))
+    out = out.join(whole, F.col("rec") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "rec").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _deeper(recs: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
+def keep_one(docs: DataFrame, alike: int = 75) -> DataFrame:
+    """docs without the documents that near_duplicates() does not keep; of rows that repeat a doc_id one stays."""
+    gone = cut(near_duplicates(docs, alike).filter("not kept").select("doc_id").distinct(), "neardup-gone")
+    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return out
+    return out.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(out.filter("doc_id is null"))
+
+
+def _deeper(recs: DataFrame, comps: DataFrame, alike: int) -> DataFrame:
     """Candidate pairs across components from small nodes, and from blocks of what never gets small."""
-    tagged = recs.join(comps, recs["rec"] == comps["node"], "left").select("rec", F.coalesce("component", "rec").alias("comp"), "s0", "s1", "tokens")
+    tagged = recs.join(comps, recs["rec"] == comps["node"], "left").select("rec", F.coalesce("component", "rec").alias("comp"), "n_shingles", "s0", "s1", "tokens")
     tagged = cut(tagged, "neardup-tagged")
     picks = F.transform(F.slice("tokens", 1, TREES * PICKS), lambda t, i: F.struct(F.xxhash64(F.lit(0), i, t).alias("node"), F.floor(i / PICKS).cast("int").alias("tree")))
     level = tagged.select("rec", "comp", F.explode(picks).alias("x")).select(F.xxhash64("x.tree", "x.node").alias("node"), "rec", "comp")
-    ready = []
+    ready, large = [], None
     for depth in range(1, DEPTH + 1):
-        stats = level.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        level = cut(level.join(stats.select("node", "n"), "node"), f"neardup-level{depth}")
+        parts = level.groupBy("node", "comp").agg(F.count("*").alias("k"))
+        stats = parts.groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).filter("comps > 1")
+        stats = stats.select("node", "n", F.col("top.k").alias("k"), F.col("top.comp").alias("top"))
+        level = cut(level.join(stats, "node"), f"neardup-level{depth}")
         ready.append(level.filter(F.col("n") <= NODE).select("node", "rec", "comp"))
-        large = level.filter(F.col("n") > NODE)
+        rest = F.col("n") - F.col("k")
+        chunks = F.ceil(F.col("k") / NODE).cast("int")
+        mine = F.array(F.pmod(F.xxhash64("rec"), chunks).cast("int"))
+        star = level.filter((F.col("n") > NODE) & (rest <= NODE)).withColumn("chunk", F.explode(F.when(F.col("comp") == F.col("top"), mine).otherwise(F.sequence(F.lit(0), chunks - 1))))
+        ready.append(star.select(F.xxhash64("node", "chunk").alias("node"), "rec", "comp"))
+        large = level.filter((F.col("n") > NODE) & (rest > NODE))
         if depth == DEPTH:
             break
         if large.isEmpty():
@@ -196,8 +240,7 @@ def _deeper(recs: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
         children = F.array(F.xxhash64("node", "c1", token("c1")), F.xxhash64("node", "c2", token("c2")))
         level = large.select(F.explode(children).alias("node"), "rec", "comp")
     if large is not None:
-        half = NODE // 2
-        blocks = F.ceil(F.col("n") / half).cast("int")
+        blocks = F.ceil(F.col("n") / (NODE // 2)).cast("int")
         mine = F.pmod(F.xxhash64("rec"), blocks).cast("int")
         large = large.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         pair = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
@@ -205,6 +248,6 @@ def _deeper(recs: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
     rows = ready[0]
     for x in ready[1:]:
         rows = rows.union(x)
-    rows = rows.join(tagged.select("rec", "s0", "s1"), "rec").select("node", "rec", "comp", "s0", "s1")
-    pairs = rows.repartition("node").sortWithinPartitions("node").mapInArrow(_pairs_in_nodes, "a long, b long").distinct()
-    return cut(pairs, "neardup-pairs"), len(ready)
+    rows = rows.join(tagged.select("rec", "s0", "s1", "n_shingles"), "rec").select("node", "rec", "comp", "s0", "s1", "n_shingles")
+    pairs = rows.repartition("node").sortWithinPartitions("node").mapInArrow(partial(_pairs_in_nodes, alike=alike), "a long, b long").distinct()
+    return cut(pairs, "neardup-pairs")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat, mixing, neardup, sharding
+from pagewright.llm import chat, decontam, linededup, lmscore, mixing, neardup, pii, sharding, topk, toxicity
 
+#: The subword vocabulary of language-model scoring; a path that the driver and its processes can read.
+VOCABULARY = os.environ.get("PAGEWRIGHT_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 ODD = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -16,12 +19,32 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(read(spark, folder, "embeddings"))
+
+
 def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD).alias("text"))
     turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.digest(chat.format_conversations(turns))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lmscore.score_documents(read(spark, folder, "documents"), VOCABULARY)
+
+
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.remove_repeats(read(spark, folder, "documents")).drop("clean_text")
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(read(spark, folder, "documents"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"), 24)
 
@@ -30,14 +53,19 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_chat_formatting": op3_chat_formatting,
-    "op7_sharding": op7_sharding,
-    "op8_minhash_near_dedup": op8_minhash_near_dedup,
-    "op10_source_mixing": op10_source_mixing,
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination, op2_exact_top_k, op3_chat_formatting, op4_lm_scoring, op5_substring_dedup,
+        op6_pii, op7_sharding, op8_minhash_near_dedup, op9_toxicity, op10_source_mixing,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}
