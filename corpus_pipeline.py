@@ -1,15 +1,52 @@
-"""Corpus pipeline: every stage is one operator, written as Parquet and read again by the next."""
+"""Corpus pipeline: toxicity, near-duplicates, decontamination, mixing, sharding.
+
+Every stage is one operator over all rows that the stage before it kept, written as Parquet and read
+again. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagewright.llm import common, decontam, mixing, neardup, sharding, toxicity
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches the threshold go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
+    return neardup.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document comes as often as its source's target asks for: not at all, once, or repeated."""
+    return mixing.apply_mix(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row gets a shard and a slot in it."""
+    return sharding.shard_documents(docs, 24)
 
-from pagewright.llm import common, mixing, neardup, sharding
 
-STAGES: list = []
-#: The stages learn a classifier and draw hashes that SQL does not have.
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
+#: A classifier is learnt and hashes are drawn that SQL does not have; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
