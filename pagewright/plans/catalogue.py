@@ -1,4 +1,4 @@
-"""Registry of the queries and of the SQL that gives the same rows."""
+"""All queries of the library and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
+from pagewright.plans import catalog_queries, html_queries, layout_queries, page_queries, registry, relational_queries, text_queries, tree_queries  # noqa: F401  they register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(registry.SQL)
