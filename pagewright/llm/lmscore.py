@@ -4,6 +4,8 @@ The model is a unigram model over the pieces of an existing vocabulary. Its scor
 vocabulary's own and are fitted to the word counts of all training documents (expectation
 maximisation over the lattice). A word's probability is the sum over all ways to write it in
 pieces, by the forward recursion in log space; a text's is the product over its words and its end.
+A word that training documents have c times also has one edge of its own, of probability
+(c - DISCOUNT) / N; the mass taken off is what the piece paths share.
 The lattice runs once for every distinct word of the corpus, not for every token.
 
 The HEAD most frequent words are looked up where the text is read (a table of bounded size); all
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pagewright.llm.common import cut, drop_cut
 
-HEAD, ROUNDS, PRIOR = 20_000, 2, 1000.0
+HEAD, ROUNDS, PRIOR, DISCOUNT = 20_000, 2, 1000.0, 0.75
 LONGEST = 16
 SPACE = 0x2581
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -198,12 +200,16 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
             e[r["piece"]] = r["e"]
         logp = np.log((e + PRIOR * share) / (e.sum() + PRIOR))
     lattice = Lattice(pieces, logp)
+    n = max(1, sums["words"])
+    shared_mass = DISCOUNT * sums["kinds"] / n if sums["words"] else 1.0
     stop = (ends + 1) / (tokens + 2)
     go = math.log10(1 - stop)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lp = lattice.run(b.column("word").to_pylist()) / math.log(10) + go
+            paths = lattice.run(b.column("word").to_pylist()) + math.log(shared_mass)
+            own = np.log(np.maximum(b.column("c").to_numpy() - DISCOUNT, 1e-300) / n)
+            lp = np.logaddexp(paths, own) / math.log(10) + go
             yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), b.column("n"), pa.array(np.log10(b.column("c").to_numpy() + 1.0)), pa.array(lp)], names=["word", "c", "n", "base", "lp"])
 
     known = cut(types.mapInArrow(weigh, "word string, c long, n long, base double, lp double"), "lm-words")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, LEXICON, SURE = 20_000, 600, 16.0
+SAMPLE, LEXICON, SURE = 20_000, 600, 30.0
 THRESHOLD = 0.3
 # fixed values: insults in plain use
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -77,7 +77,17 @@ def lexicon(train: DataFrame) -> list[str]:
     counts = train.select("text", "toxic").mapInArrow(_count, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
     sure = counts.filter("a >= 3").withColumn("lr", likelihood_ratio(F.col("a"), F.col("b"), n1, n0)).filter(F.col("lr") >= SURE)
     top = sure.orderBy(F.desc("lr"), "entry").limit(LEXICON).select("entry").collect()
-    return list(dict.fromkeys([*INSULTS, *[r[0] for r in top]]))
+    return compact([*INSULTS, *[r[0] for r in top]])
+
+
+def compact(found: list[str]) -> list[str]:
+    """Entries in order, without those that begin like an earlier one or that an earlier one begins with."""
+    out: list[str] = []
+    for x in found:
+        s = x.rstrip("-")
+        if not any(s.startswith(y.rstrip("-")) or y.startswith(s) for y in out):
+            out.append(x)
+    return out
 
 
 def votes(text: str | None, place: dict[str, int]) -> np.ndarray:
@@ -110,7 +120,7 @@ def label_model(v: np.ndarray, y: np.ndarray, rounds: int = 25) -> np.ndarray:
             rest = v - np.outer(post, p1) - np.outer(1 - post, p0)
             scale = np.sqrt((rest**2).mean(axis=0)) + 1e-9
             corr = np.abs((rest / scale).T @ (rest / scale) / len(v))
-            corr[corr < 0.1] = 0
+            corr[corr < 0.4] = 0
             weight = 1 / np.maximum(1, corr.sum(axis=1))
         odds = math.log(prior / (1 - prior)) + (v * weight) @ (np.log(p1) - np.log(p0)) + ((1 - v) * weight) @ (np.log1p(-np.minimum(p1, 0.999)) - np.log1p(-np.minimum(p0, 0.999)))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
@@ -120,15 +130,19 @@ def label_model(v: np.ndarray, y: np.ndarray, rounds: int = 25) -> np.ndarray:
     return post
 
 
-def linear(v: np.ndarray, post: np.ndarray, steps: int = 400, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on posterior labels by accelerated gradient steps."""
+def linear(v: np.ndarray, post: np.ndarray, steps: int = 30, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on posterior labels by Newton steps; the intercept is not penalised."""
     x = np.concatenate([v, np.ones((len(v), 1), v.dtype)], axis=1).astype(np.float64)
-    w, last = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    bound = 4 / max(1e-9, np.linalg.norm(x, 2) ** 2 / len(x) + 4 * penalty)
-    for k in range(steps):
-        z = w + (k / (k + 3)) * (w - last)
-        g = x.T @ (1 / (1 + np.exp(-np.clip(x @ z, -30, 30))) - post) / len(x) + penalty * z
-        last, w = w, z - bound * g
+    ridge = np.full(x.shape[1], penalty * len(x))
+    ridge[-1] = 1e-9
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(h, x.T @ (p - post) + ridge * w)
+        w = w - np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
     return w[:-1], float(w[-1])
 
 
