@@ -1,8 +1,8 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries and patterns: a fixed list of insults, whole words and word beginnings
-that occur in toxic training documents far more often than chance (likelihood ratio), and patterns
-on their number and density. A generative model takes the label of a document as hidden: it
+that occur in toxic training documents far more often than chance (likelihood ratio; at least GROUPS of those documents must not
+be copies of one another, by their smallest shingle hash), and patterns on their number and density. A generative model takes the label of a document as hidden: it
 estimates by expectation maximisation how often each voter fires on either label, and from what
 is left over which voters fire together, and weighs correlated voters down. A linear classifier
 is fitted to its posterior labels and scores all texts.
@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, LEXICON, SURE = 20_000, 600, 30.0
+from pagewright.llm.shingles import mix, shingle_set
+
+SAMPLE, LEXICON, SURE, GROUPS = 20_000, 600, 30.0, 8
 THRESHOLD = 0.3
 # fixed values: insults in plain use
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -43,12 +45,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[int]] = {}
 
     def table():
-        return pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([v[0] for v in held.values()], pa.int64()), pa.array([v[1] for v in held.values()], pa.int64())], names=["entry", "clean", "toxic"])
+        cols = list(zip(*held.values(), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(list(held)), *[pa.array(c, pa.int64()) for c in cols]], names=["entry", "clean", "toxic", "groups"])
 
     for batch in batches:
         for t, y in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-            for x in entries(t.as_py()):
-                held.setdefault(x, [0, 0])[y] += 1
+            text = t.as_py()
+            bit = 0
+            if y and len(found := shingle_set(text)):
+                bit = 1 << int(mix(found[:1])[0] % 63)
+            for x in entries(text):
+                h = held.setdefault(x, [0, 0, 0])
+                h[y] += 1
+                h[2] |= bit
         if len(held) > 300_000:
             yield table()
             held = {}
@@ -74,8 +83,8 @@ def lexicon(train: DataFrame) -> list[str]:
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return list(INSULTS)
-    counts = train.select("text", "toxic").mapInArrow(_count, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
-    sure = counts.filter("a >= 3").withColumn("lr", likelihood_ratio(F.col("a"), F.col("b"), n1, n0)).filter(F.col("lr") >= SURE)
+    counts = train.select("text", "toxic").mapInArrow(_count, "entry string, clean long, toxic long, groups long").groupBy("entry").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"), F.bit_or("groups").alias("groups"))
+    sure = counts.filter(F.bit_count("groups") >= GROUPS).withColumn("lr", likelihood_ratio(F.col("a"), F.col("b"), n1, n0)).filter(F.col("lr") >= SURE)
     top = sure.orderBy(F.desc("lr"), "entry").limit(LEXICON).select("entry").collect()
     return compact([*INSULTS, *[r[0] for r in top]])
 
