@@ -13,7 +13,7 @@ def correct_page_dimensions(blocks: DataFrame, actual: DataFrame) -> DataFrame:
     a = actual.select("doc_id", "page_number", F.col("width").alias("aw"), F.col("height").alias("ah"))
     j = blocks.join(a, ["doc_id", "page_number"], "left")
     off = F.coalesce((F.abs(F.col("page_width") - F.col("aw")) > 1.0) | (F.abs(F.col("page_height") - F.col("ah")) > 1.0), F.lit(False))
-    return j.withColumn("page_width", F.when(off, F.col("aw")).otherwise(F.col("page_width"))).withColumn("page_height", F.when(off, F.col("ah")).otherwise(F.col("page_height"))).drop("aw", "ah")
+    return j.withColumns({"page_width": F.when(off, F.col("aw")).otherwise(F.col("page_width")), "page_height": F.when(off, F.col("ah")).otherwise(F.col("page_height"))}).drop("aw", "ah")
 
 
 def retype_furniture(blocks: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def route_failed_pictures(blocks: DataFrame) -> DataFrame:
     """A picture that could not be cut out becomes text if it has any, else it goes. Needs columns failed, storage_url."""
     pic = (F.col("block_type") == "Picture") & F.col("failed")
     keep = ~pic | X.has_text(F.col("text_content"))
-    return blocks.filter(keep).withColumn("block_type", F.when(pic, "Text").otherwise(F.col("block_type"))).withColumn("storage_url", F.when(~pic, F.col("storage_url")))
+    return blocks.filter(keep).withColumns({"block_type": F.when(pic, "Text").otherwise(F.col("block_type")), "storage_url": F.when(~pic, F.col("storage_url"))})
 
 
 def merge_boxes_by_page(positions: DataFrame, keys: list[str]) -> DataFrame:

@@ -162,7 +162,7 @@ def _(spark, d):
 @query("distinct_documents_pending", CONTENT_SQL + "," + CONTENT + f" SELECT DISTINCT doc_id FROM content c WHERE {NEED} AND NOT EXISTS (SELECT 1 FROM embedded e WHERE e.content_id = c.content_id) ORDER BY doc_id LIMIT 200")
 def _(spark, d):
     p = C.needs_embedding(_content(spark, d)).join(_embedded(spark, d), "content_id", "left_anti")
-    return p.groupBy("doc_id").agg().orderBy("doc_id").limit(200)
+    return p.select("doc_id").distinct().orderBy("doc_id").limit(200)
 
 
 @query("batch_items", CONTENT_SQL + "," + CONTENT + f", n AS (SELECT doc_id, content_id, (row_number() OVER (PARTITION BY doc_id ORDER BY content_id) - 1) // 8 AS batch FROM content WHERE {NEED}) SELECT doc_id, CAST(batch AS INTEGER) AS batch, list(content_id ORDER BY content_id) AS items FROM n GROUP BY ALL")

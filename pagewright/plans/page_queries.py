@@ -46,7 +46,7 @@ def _(spark, d):
     return n.withColumn("r", X.to_roman(F.col("v"))).withColumn("back", X.from_roman(F.col("r")).cast("bigint"))
 
 
-@query("increment_page_number", LABELS_SQL + "," + ROMANS + f""", typed AS (SELECT doc_id, page_number, label, {TYPE.format('label')} AS kind FROM page_labels WHERE label IS NOT NULL)
+@query("increment_page_number", LABELS_SQL + "," + ROMANS.replace("121", "4000") + f""", typed AS (SELECT doc_id, page_number, label, {TYPE.format('label')} AS kind FROM page_labels WHERE label IS NOT NULL)
  SELECT doc_id, page_number, label, CASE kind WHEN 'integer' THEN CAST(CAST(label AS INTEGER) - 3 AS VARCHAR) WHEN 'roman_lower' THEN b.r WHEN 'roman_upper' THEN upper(b.r) WHEN 'letter' THEN CASE WHEN ascii(label) - 68 BETWEEN 0 AND 25 THEN chr(ascii(label) - 3) END END AS moved
  FROM typed LEFT JOIN romans a ON kind LIKE 'roman%' AND a.r = lower(label) LEFT JOIN romans b ON b.v = a.v - 3""")
 def _(spark, d):
