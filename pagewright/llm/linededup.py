@@ -93,8 +93,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     exact repeat is removed neither from the other nor twice. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(docs.filter("doc_id is not null").mapInArrow(_units, UNITS), "linededup-units")
+    # read twice: splitting again costs less than keeping a row for every unit on disk
+    rows = docs.filter("doc_id is not null").mapInArrow(_units, UNITS)
     first = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).filter("n > 1").select("d1", "d2", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"))
+    first = cut(first, "linededup-first")
     again = rows.join(first, ["d1", "d2"]).filter("doc_id <> first_doc or start <> first_start").select("doc_id", "unit", "start", "stop", "n_words", "first_doc", "first_start").distinct()
     w = Window.partitionBy("doc_id")
     again = again.withColumn("run", F.col("unit") - F.row_number().over(w.orderBy("unit", "start")))

@@ -90,6 +90,14 @@ def copies(rates: DataFrame, most: int = MOST) -> DataFrame:
     rows = rows.withColumn("used", F.coalesce(F.sum(F.col("room") * F.col("size")).over(up), F.lit(0)))
     fix = F.least(F.col("room"), F.greatest(F.lit(0), F.floor((F.abs("miss") - F.col("used")) / F.col("size")).cast("long")))
     rows = rows.withColumn("made", F.when(F.col("miss") >= 0, F.col("made") + fix).otherwise(F.col("made") - fix))
+    for _ in range(2):
+        # one copy of the size closest to what is left
+        miss = F.round(F.col("target") - F.sum(F.col("made") * F.col("size")).over(whole)).cast("long")
+        rows = rows.withColumn("miss", miss)
+        room = F.when(F.col("miss") >= 0, F.col("n") * most - F.col("made")).otherwise(F.col("made"))
+        off = F.abs(F.abs("miss") - F.col("size"))
+        rows = rows.withColumn("near", F.min(F.when((room > 0) & (off < F.abs("miss")), F.struct(off.alias("o"), "size"))).over(whole))
+        rows = rows.withColumn("made", F.when(F.col("near.size") == F.col("size"), F.col("made") + F.signum("miss").cast("long")).otherwise(F.col("made")))
     return rows.select("source", "size", "source_size", "target", F.floor(F.col("made") / F.col("n")).cast("long").alias("base"), F.pmod("made", "n").alias("extra"), "rate")
 
 
