@@ -7,8 +7,9 @@ estimates by expectation maximisation how often each voter fires on either label
 is left over which voters fire together, and weighs correlated voters down. A linear classifier
 is fitted to its posterior labels and scores all texts.
 
-Labels come from training rows only. Counts of words by label run over all training rows; the
-voter matrix and the classifier are fitted on at most SAMPLE training rows (smallest hashes first).
+Labels come from training rows only. Lexicon, voter matrix and classifier are fitted on at most
+SAMPLE labelled training rows (smallest hashes first), whose ids and labels are small enough to
+broadcast, so that no text is shuffled. Every document is scored whole.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.common import cut
 from pagewright.llm.shingles import mix, shingle_set
 
-SAMPLE, LEXICON, SURE, GROUPS = 20_000, 600, 30.0, 8
+SAMPLE, LEXICON, SURE, GROUPS = 30_000, 200, 30.0, 8
 THRESHOLD = 0.3
 # fixed values: insults in plain use
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -78,7 +80,7 @@ def likelihood_ratio(a, b, n1, n0):
 
 
 def lexicon(train: DataFrame) -> list[str]:
-    """The fixed list and the up to LEXICON surest entries; counts cover all training rows."""
+    """The fixed list and the up to LEXICON surest entries; counts cover the training sample."""
     n = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -159,7 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarray,
     """Lexicon and linear classifier, from the labelled rows whose crc32(doc_id) mod 4 is not 2."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(rows, "doc_id")
+    chosen = cut(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "toxicity-sample")
+    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     place = {x: k for k, x in enumerate(lexicon(train))}
     width = len(place) + 4
 
@@ -168,8 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarray,
             bits = [np.packbits(votes(t.as_py(), place) > 0).tobytes() for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(bits, pa.binary())], names=["toxic", "votes"])
 
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("text", "toxic").mapInArrow(cast, "toxic int, votes binary").groupBy("toxic", "votes").count().collect()
+    seen = train.mapInArrow(cast, "toxic int, votes binary").groupBy("toxic", "votes").count().collect()
     if not seen:
         return place, np.concatenate([np.full(len(place), 3.0), np.zeros(4)]), -3.0
     seen.sort(key=lambda r: (r[0], bytes(r[1])))
