@@ -35,7 +35,7 @@ def _(spark, d):
     return s.select("user_id", _second("start").alias("start"), "n")
 
 
-@query("job_latest_status", "SELECT user_id AS job_id, arg_max(event_type, epoch_us(ts) * 10000 + event_id % 10000) AS status FROM events GROUP BY user_id")
+@query("job_latest_status", "SELECT user_id AS job_id, arg_max(event_type, CAST(epoch_us(ts) AS HUGEINT) * 10000 + event_id % 10000) AS status FROM events GROUP BY user_id")
 def _(spark, d):
     e = _events(spark, d).select(F.col("user_id").alias("job_id"), F.col("event_type").alias("status"), F.struct("ts", (F.col("event_id") % 10000).alias("k")).alias("ts"))
     return J.latest_status(e).select("job_id", "status")
