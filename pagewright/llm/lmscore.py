@@ -90,7 +90,7 @@ class Lattice:
         lens = np.array([len(w) for w in words])
         for length in np.unique(lens):
             rows = np.flatnonzero(lens == length)
-            step = max(1, 1_000_000 // (int(length) + 1))
+            step = max(1, 200_000 // (int(length) + 1))
             for a in range(0, len(rows), step):
                 part = rows[a : a + step]
                 text = "".join(words[i] for i in part)
@@ -155,7 +155,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if train:
                 for w in found:
                     learnt[w] = learnt.get(w, 0) + 1
-        if len(seen) > 400_000:
+        if len(seen) > 200_000:
             yield table()
             seen, learnt = {}, {}
     if seen:
