@@ -68,4 +68,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_pii, op7_sharding, op8_minhash_near_dedup, op9_toxicity, op10_source_mixing,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: A turn is escaped if its text holds a mark or a form that unescaping would change; roles of the tables need none.
+_ESCAPED = r"CASE WHEN contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|') THEN regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') ELSE text END"
+_TURN = "ORDER BY turn NULLS FIRST, role, text"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op3_chat_formatting": f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '{ODD}' UNION ALL SELECT -1, 1, 'assistant', '{ODD}')
+ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {_TURN})) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' {_TURN}) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(24 + length(role) + length({_ESCAPED})) AS BIGINT) AS formatted_chars FROM t GROUP BY conv_id""",
+}
