@@ -190,8 +190,11 @@ def near_duplicates(docs: DataFrame, alike: int = 75) -> DataFrame:
 
     pairs = _deeper(recs, labels, alike)
     more = confirm(pairs.join(star, ["a", "b"], "left_anti"), docs, alike)
-    whole = components(links.union(more))
-    copies = known.join(groups.filter("last > rec"), ["d1", "d2", "n_shingles"]).select("doc_id", "rec").filter("doc_id <> rec").distinct()
+    # a doc_id that repeats with different texts joins their groups
+    several = known.groupBy("doc_id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).filter("lo <> hi").select("doc_id")
+    same = known.join(several, "doc_id").join(groups, ["d1", "d2", "n_shingles"]).select(F.col("rec").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct()
+    whole = components(links.union(more).union(same))
+    copies = known.join(groups.filter("last > rec"), ["d1", "d2", "n_shingles"]).filter("doc_id <> rec").groupBy("doc_id").agg(F.min("rec").alias("rec"))
     out = signed.select("doc_id", "n_shingles").join(copies, "doc_id", "left").withColumn("rec", F.coalesce("rec", "doc_id"))
     out = out.join(whole, F.col("rec") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "rec").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -67,7 +67,7 @@ def corpus(n=150, seed=3):
     return rows
 
 
-ODD = [(9001, None), (9002, ""), (9003, " \n\t"), (9004, "one"), (9005, "ONE"), (9006, "x y z w " * 6000), (9007, "x y z w " * 6000), (9008, "dup row here at last"), (9008, "dup row here at last"), (None, "dup row here at last")]
+ODD = [(9001, None), (9002, ""), (9003, " \n\t"), (9004, "one"), (9005, "ONE"), (9006, "x y z w " * 6000), (9007, "x y z w " * 6000), (9008, "dup row here at last"), (9008, "dup row here at last"), (None, "dup row here at last"), (9010, "first text of an id that comes twice"), (9010, "another text of the id that comes twice"), (9011, "another text of the id that comes twice"), (8999, "first text of an id that comes twice")]
 
 
 def test_near_duplicates_against_brute_force(spark):
