@@ -34,6 +34,8 @@ from pagewright.llm.shingles import mix, shingle_set
 
 TREES, PICKS, COORDS, FUNCTIONS = 6, 2, 40, 128
 NODE, DEPTH = 256, 6
+#: Doublings of the way along links before nodes are pruned: 2^JUMPS steps.
+JUMPS = 4
 #: Words of 64 bits in the table of wanted ids that texts are filtered by before they are shuffled.
 FILTER = 1 << 18
 #: Sketch bits that agree: 112 of 128 are expected at similarity 0.75, with a deviation of 3.7; 93 is five deviations below.
@@ -183,10 +185,14 @@ def near_duplicates(docs: DataFrame, alike: int = 75) -> DataFrame:
     star = first.join(least, first["node"] == least["k"]).filter((F.col("p") < F.col("rec")) & _fits(F.col("n_shingles"), F.col("pn"), alike) & (agreement(F.col("s0"), F.col("s1"), F.col("p0"), F.col("p1")) >= AGREE))
     star = cut(star.groupBy(F.col("rec").alias("b")).agg(F.min("p").alias("a")).select("a", "b"), "neardup-star")
     links = confirm(star, docs, alike)
-    # every record has one link upwards; two steps along them name most components, which is all that pruning needs
-    up = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
-    top = up.select(F.col("node").alias("component"), F.col("component").alias("above"))
-    labels = cut(up.join(top, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "neardup-labels")
+    # every record has one link upwards, so following links twice as far each time soon names the top;
+    # a label that is not yet the top only prunes less
+    labels = cut(links.select(F.col("b").alias("node"), F.col("a").alias("component")), "neardup-labels")
+    for _ in range(JUMPS):
+        above = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        further = cut(labels.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "neardup-labels")
+        drop_cut(labels)
+        labels = further
 
     pairs = _deeper(recs, labels, alike)
     more = confirm(pairs.join(star, ["a", "b"], "left_anti"), docs, alike)
