@@ -7,9 +7,10 @@ estimates by expectation maximisation how often each voter fires on either label
 is left over which voters fire together, and weighs correlated voters down. A linear classifier
 is fitted to its posterior labels and scores all texts.
 
-Labels come from training rows only. Lexicon, voter matrix and classifier are fitted on at most
-SAMPLE labelled training rows (smallest hashes first), whose ids and labels are small enough to
-broadcast, so that no text is shuffled. Every document is scored whole.
+Labels come from training rows only. Counts of words by label run over all training rows; the
+voter matrix and the classifier are fitted on at most SAMPLE training rows (smallest hashes first).
+Ids and labels are broadcast, packed where there are at most PACKED of them, so that no text is
+shuffled; beyond that the texts of labelled rows are shuffled once. Every document is scored whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import cut
 from pagewright.llm.shingles import mix, shingle_set
 
-SAMPLE, LEXICON, SURE, GROUPS = 30_000, 200, 30.0, 8
+SAMPLE, LEXICON, SURE, GROUPS = 30_000, 600, 30.0, 8
+PACKED = 20_000_000
 THRESHOLD = 0.3
 # fixed values: insults in plain use
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -79,13 +81,36 @@ def likelihood_ratio(a, b, n1, n0):
     return F.when(a / F.lit(float(n1)) > 5 * b / F.lit(float(n0)), 2 * (own - same)).otherwise(0.0)
 
 
-def lexicon(train: DataFrame) -> list[str]:
-    """The fixed list and the up to LEXICON surest entries; counts cover the training sample."""
-    n = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def count_entries(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """entry, b and a (clean and toxic documents that hold it) and groups, over all of docs that rows labels."""
+    schema = "entry string, clean long, toxic long, groups long"
+    if rows.count() > PACKED:
+        found = docs.join(rows, "doc_id").select("text", "toxic").mapInArrow(_count, schema)
+    else:
+        t = rows.toArrow()
+        ids, toxic = t.column("doc_id").to_numpy(), t.column("toxic").to_numpy().astype(np.int8)
+        order = np.argsort(ids, kind="stable")
+        known = docs.sparkSession.sparkContext.broadcast((ids[order], toxic[order]))
+
+        def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, toxic = known.value
+            for batch in batches:
+                i = batch.column("doc_id").to_numpy()
+                k = np.minimum(np.searchsorted(ids, i), len(ids) - 1)
+                hit = ids[k] == i
+                yield pa.RecordBatch.from_arrays([batch.column("text").filter(pa.array(hit)), pa.array(toxic[k[hit]])], names=["text", "toxic"])
+
+        found = docs.filter("doc_id is not null").mapInArrow(lambda batches: _count(labelled(batches)), schema)
+    return found.groupBy("entry").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"), F.bit_or("groups").alias("groups"))
+
+
+def lexicon(docs: DataFrame, rows: DataFrame) -> list[str]:
+    """The fixed list and the up to LEXICON surest entries; counts cover all training rows."""
+    n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(rows, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return list(INSULTS)
-    counts = train.select("text", "toxic").mapInArrow(_count, "entry string, clean long, toxic long, groups long").groupBy("entry").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"), F.bit_or("groups").alias("groups"))
+    counts = count_entries(docs, rows)
     sure = counts.filter(F.bit_count("groups") >= GROUPS).withColumn("lr", likelihood_ratio(F.col("a"), F.col("b"), n1, n0)).filter(F.col("lr") >= SURE)
     top = sure.orderBy(F.desc("lr"), "entry").limit(LEXICON).select("entry").collect()
     return compact([*INSULTS, *[r[0] for r in top]])
@@ -161,9 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarray,
     """Lexicon and linear classifier, from the labelled rows whose crc32(doc_id) mod 4 is not 2."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = cut(rows, "toxicity-labels")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    place = {x: k for k, x in enumerate(lexicon(docs, rows))}
     chosen = cut(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "toxicity-sample")
-    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    place = {x: k for k, x in enumerate(lexicon(train))}
+    train = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     width = len(place) + 4
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

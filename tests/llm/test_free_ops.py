@@ -257,3 +257,21 @@ def test_toxicity_held_out(spark):
     assert kept.columns == frame(spark, rows).columns and kept.count() == sum(r.predicted == 0 for r in got)
     assert toxicity.score_documents(frame(spark, []), lab).count() == 0
     assert toxicity.score_documents(frame(spark, rows), lab.limit(0)).count() == len(rows)
+
+
+def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
+    """A toxic word too rare for the sample still gets a voter."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 200)
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k in range(3000):
+        w = [f"w{rng.randrange(300)}" for _ in range(40)]
+        if k % 10 == 0:
+            w[:2] = ["grumbol", "vexlort"] if k % 60 == 0 else rng.sample(["idiot", "scum", "moron"], 2)
+        rows.append((k, " ".join(w)))
+        labels.append((k, int(k % 10 == 0)))
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    place = toxicity.fit(frame(spark, rows), lab)[0]
+    assert any(x.startswith("grum") for x in place) and any(x.startswith("vex") for x in place)
+    monkeypatch.setattr(toxicity, "PACKED", 10)
+    assert toxicity.fit(frame(spark, rows), lab)[0] == place
