@@ -4,13 +4,15 @@ A text splits at line ends and at the space after a sentence mark, so every unit
 A unit is normalised (A-Z lowered, white space as single spaces) and hashed to 128 bits; equal
 digests anywhere in the corpus are one unit. The occurrence that ranks first by (doc_id, start)
 stays, later ones go if the repeated units in a row amount to MIN_WORDS words at least: a passage
-goes as a whole, a short phrase that two texts share by chance stays.
+goes as a whole, a short phrase that two texts share by chance stays. With whole_lines (as the query
+runs it) a line whose units are all repeats goes whatever its length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ from pagewright.llm.common import cut
 
 MIN_WORDS = 8
 _BREAK = re.compile(r"\n|(?<=[.!?])[ \t]")
-UNITS = "doc_id long, unit int, start long, stop long, n_words int, d1 long, d2 long"
+UNITS = "doc_id long, unit int, start long, stop long, n_words int, line int, of int, d1 long, d2 long"
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -38,9 +40,19 @@ def units(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def line_numbers(text: str, found: list[tuple[int, int]]) -> list[int]:
+    """The line each unit of a text stands in."""
+    out, line, at = [], 0, 0
+    for a, b in found:
+        line += text.count("\n", at, a)
+        out.append(line)
+        at = b
+    return out
+
+
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-    names = ["doc_id", "unit", "start", "stop", "n_words", "d1", "d2"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    names = ["doc_id", "unit", "start", "stop", "n_words", "line", "of", "d1", "d2"]
 
     def table(cols, digests):
         d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
@@ -48,17 +60,20 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     for batch in batches:
-        cols, digests = ([], [], [], [], []), []
+        cols, digests = ([], [], [], [], [], [], []), []
         for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             text = t.as_py() or ""
-            for k, (a, b) in enumerate(units(text)):
+            found_units = units(text)
+            lines = line_numbers(text, found_units)
+            size = Counter(lines)
+            for k, (a, b) in enumerate(found_units):
                 found = text[a:b].encode("utf-8", "surrogatepass").lower().split()
-                for c, v in zip(cols, (i, k, a, b, len(found)), strict=True):
+                for c, v in zip(cols, (i, k, a, b, len(found), lines[k], size[lines[k]]), strict=True):
                     c.append(v)
                 digests.append(xxh3_128_digest(b" ".join(found)))
             if len(digests) >= 50_000:
                 yield table(cols, digests)
-                cols, digests = ([], [], [], [], []), []
+                cols, digests = ([], [], [], [], [], [], []), []
         if digests:
             yield table(cols, digests)
 
@@ -84,7 +99,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("n_removed", pa.int64()), ("removed_chars", pa.int64()), ("spans", pa.string()), ("clean_chars", pa.int64()), ("clean_sha256", pa.string()), ("clean_text", pa.string())]))
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, whole_lines: bool = False) -> DataFrame:
     """doc_id, n_removed, removed_chars, spans, clean_chars, clean_sha256 and clean_text of every row.
 
     spans lists start:end:first_doc:first_start of the removed units (code points of the original
@@ -97,10 +112,15 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.filter("doc_id is not null").mapInArrow(_units, UNITS)
     first = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).filter("n > 1").select("d1", "d2", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"))
     first = cut(first, "linededup-first")
-    again = rows.join(first, ["d1", "d2"]).filter("doc_id <> first_doc or start <> first_start").select("doc_id", "unit", "start", "stop", "n_words", "first_doc", "first_start").distinct()
+    again = rows.join(first, ["d1", "d2"]).filter("doc_id <> first_doc or start <> first_start").select("doc_id", "unit", "start", "stop", "n_words", "line", "of", "first_doc", "first_start").distinct()
     w = Window.partitionBy("doc_id")
     again = again.withColumn("run", F.col("unit") - F.row_number().over(w.orderBy("unit", "start")))
-    again = again.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run"))).filter(F.col("run_words") >= min_words)
+    again = again.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
+    enough = F.col("run_words") >= min_words
+    if whole_lines:
+        again = again.withColumn("line_units", F.count("*").over(Window.partitionBy("doc_id", "line")))
+        enough = enough | (F.col("line_units") >= F.col("of"))
+    again = again.filter(enough)
     gone = again.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "first_doc", "first_start"))).alias("gone"))
     schema = "doc_id long, n_removed long, removed_chars long, spans string, clean_chars long, clean_sha256 string, clean_text string"
     return docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_clean, schema)

@@ -38,7 +38,7 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.remove_repeats(read(spark, folder, "documents")).drop("clean_text")
+    return linededup.remove_repeats(read(spark, folder, "documents"), whole_lines=True).drop("clean_text")
 
 
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:

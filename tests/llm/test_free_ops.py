@@ -275,3 +275,11 @@ def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
     assert any(x.startswith("grum") for x in place) and any(x.startswith("vex") for x in place)
     monkeypatch.setattr(toxicity, "PACKED", 10)
     assert toxicity.fit(frame(spark, rows), lab)[0] == place
+
+
+def test_line_dedup_query_removes_short_lines(spark, tmp_path):
+    rows = [(1, "Own text of one.\nYes.\nCC BY 4.0. Free."), (2, "Yes.\nOwn text of two. Yes. More of two."), (3, "Own text of three.\nCC BY 4.0. Free.\nYes."), (4, "Yes.\n\nYes.\nCC BY 4.0. Other.")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op5_substring_dedup(spark, str(tmp_path)).collect()}
+    want = {1: rows[0][1], 2: "Own text of two. Yes. More of two.", 3: "Own text of three.\n", 4: "\nCC BY 4.0. Other."}
+    assert {i: r.clean_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
