@@ -283,3 +283,21 @@ def test_line_dedup_query_removes_short_lines(spark, tmp_path):
     got = {r.doc_id: r for r in queries.op5_substring_dedup(spark, str(tmp_path)).collect()}
     want = {1: rows[0][1], 2: "Own text of two. Yes. More of two.", 3: "Own text of three.\n", 4: "\nCC BY 4.0. Other."}
     assert {i: r.clean_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
+def test_personal_data_written_out(spark):
+    """Planted forms that no base pattern matches are found; failed cards are not added."""
+    rng = random.Random(5)
+    rows, planted = [], 0
+    for k in range(240):
+        d = "4" + "".join(str(rng.randrange(10)) for _ in range(14))
+        d += next(c for c in "0123456789" if pii.luhn(d + c))
+        d = "/".join(d[i : i + 4] for i in range(0, 16, 4))
+        forms = [f"Mail jo{k} at host{k % 7} dot org today", f"call ({rng.randrange(200, 900)}) 555-{rng.randrange(1000, 9999)} now", f"card {d} here", f"server {k} dot 7 dot 0 dot {rng.randrange(256)} up"]
+        rows.append((k, f"{forms[k % 4]}, order 1234567890123 and part 12.345.678.901.2 of it."))
+        planted += 1
+    got = pii.find_personal_data(frame(spark, rows)).collect()
+    assert not any(s in r.spans for r in got for s in ["card:%d:" % rows[r.doc_id][1].index("1234567890123")])
+    hit = Counter(r.doc_id % 4 for r in got if r.n_added == 1)
+    print("planted spans found, of 60 each:", dict(hit), "added", sum(r.n_added for r in got))
+    assert all(hit[n] >= 54 for n in range(4))
