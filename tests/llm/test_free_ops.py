@@ -301,3 +301,11 @@ def test_personal_data_written_out(spark):
     hit = Counter(r.doc_id % 4 for r in got if r.n_added == 1)
     print("planted spans found, of 60 each:", dict(hit), "added", sum(r.n_added for r in got))
     assert all(hit[n] >= 54 for n in range(4))
+
+
+def test_personal_data_sample_has_an_order(spark, monkeypatch):
+    """The bounded examples do not depend on how rows are dealt."""
+    monkeypatch.setattr(pii, "SAMPLE_SPANS", 100)
+    rows = [(k, f"Call ({200 + k}) 555-{1000 + 7 * k} now" if k < 120 or k % 2 else f"Part {200 + k}-555-{1000 + 7 * k} of it") for k in range(240)]
+    a, b = (pii.fit(frame(spark, r).coalesce(1)) for r in (rows, rows[::-1]))
+    assert a[0] and b[0] and (a[1], a[0].start, a[0].trees) == (b[1], b[0].start, b[0].trees)
