@@ -4,18 +4,24 @@ Documents with equal shingle sets become one record. A record has `COORDS` minwi
 sketch of one bit from each of `FUNCTIONS` minwise hashes. Each of `TREES` trees starts at the root,
 where it branches on `PICKS` tokens: records with the same token share a node. What follows:
 
-1. In every first-level node all records are compared with the node's smallest record by sketch, and
-   each record's smallest such partner is confirmed on full sets. This joins copies by the thousand
-   with a linear number of comparisons.
+1. In every first-level node all records are compared with the node's smallest record by sketch;
+   each record's most alike partner of these is confirmed on full sets. This joins copies by the
+   thousand with a linear number of comparisons. Labels are the components of the links so far.
 2. Nodes whose records are all joined already have nothing to add and end. Nodes of at most `NODE`
-   records are compared exhaustively (sketch first, then full sets). A larger node in which all but
+   records are compared exhaustively: by sketch, which names the records that may have a partner,
+   then on the shingle sets of these, which travel to the node. A node answers with a spanning
+   forest of its links, so with fewer links than it has records. A larger node in which all but
    `NODE` records are joined already is cut into pieces of the joined ones, each compared with all
-   the others. Other nodes branch again on `PICKS` tokens chosen by the node's hash; what is still
-   large at depth `DEPTH` is compared in blocks of `NODE` / 2 records, each block against each.
-
-At similarity s a node keeps a linked pair together with probability at least the fixed point of
-q = 1 - (1 - s q)^PICKS per tree, 0.889 at s = 0.75, at any depth, so six trees miss at most
-0.111^6 = 2e-6 of such pairs; pairs that never meet a large node are missed with 0.25^12 = 6e-8.
+   the others.
+3. Labels are drawn up again. Larger nodes that the new labels don't shrink branch on tokens chosen
+   by the node's hash: on `PICKS` down to depth 3, then on one or two in equal parts, so that rows
+   grow by half with a level while nodes of unlinked records shrink by their similarity. What is
+   still large at depth `DEPTH` is compared in blocks of `NODE` / 2 records, each block against each.
+
+At similarity s a node keeps a linked pair together with probability at least q = 1 - (1 - s q)^PICKS
+per tree, 0.889 at s = 0.75, down to depth 3, so six trees miss at most 0.111^6 = 2e-6 of such pairs;
+beyond depth 3 the limit of the survival is 0.44 for a node, and 3e-4 of the pairs are missed that
+never meet in a smaller node and that no other link joins.
 """
 
 from __future__ import annotations
@@ -33,9 +39,9 @@ from pagewright.llm.components import components
 from pagewright.llm.shingles import mix, shingle_set
 
 TREES, PICKS, COORDS, FUNCTIONS = 6, 2, 40, 128
-NODE, DEPTH = 256, 6
-#: Doublings of the way along links before nodes are pruned: 2^JUMPS steps.
-JUMPS = 4
+NODE, DEPTH = 256, 12
+#: Sets of more shingles travel to nodes as a sample by hash of about this size; their pairs are confirmed on full sets.
+FULL = 2048
 #: Words of 64 bits in the table of wanted ids that texts are filtered by before they are shuffled.
 FILTER = 1 << 18
 #: Sketch bits that agree: 112 of 128 are expected at similarity 0.75, with a deviation of 3.7; 93 is five deviations below.
@@ -79,12 +85,24 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(size), *[pa.array(np.ascontiguousarray(signed[:, k])) for k in range(4)], lists], names=["doc_id", "n_shingles", "d1", "d2", "s0", "s1", "tokens"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """rec, n (size of the set), level and found: the set, or the hashes below 2^64 / 2^level of one larger than `most`."""
     for batch in batches:
-        found = [shingle_set(t.as_py()).view(np.int64) for t in batch.column("text")]
+        found, sizes, levels = [], [], []
+        for t in batch.column("text"):
+            x = shingle_set(t.as_py())
+            sizes.append(len(x))
+            level = 0 if most is None or len(x) <= most else (len(x) - 1) // most
+            level = int(level).bit_length()
+            levels.append(level)
+            found.append((x[x < (np.uint64(1) << np.uint64(64 - level))] if level else x).view(np.int64))
         ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
         flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["rec", "found"])
+        cols = [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(levels, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), flat)]
+        yield pa.RecordBatch.from_arrays(cols, names=["rec", "n", "level", "found"])
+
+
+SETS = "rec long, n int, level int, found array<long>"
 
 
 def agreement(a0, a1, b0, b1):
@@ -96,8 +114,8 @@ def _fits(n, m, alike: int):
     return F.lit(100) * F.least(n, m) >= F.lit(alike) * F.greatest(n, m)
 
 
-def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by node: pairs of one node that are in different components and agree by sketch."""
+def _partners(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by node: node, rec and comp of those that agree by sketch with one of another component in the node."""
     held = None
     names = ["node", "rec", "comp", "s0", "s1", "n_shingles"]
 
@@ -112,15 +130,14 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[p
             same = 128 - np.bitwise_count(s[:, None, :] ^ s[None, :, :]).sum(axis=2, dtype=np.int32)
             n = g[:, 5]
             fits = 100 * np.minimum(n[:, None], n[None, :]) >= alike * np.maximum(n[:, None], n[None, :])
-            ok = (same >= AGREE) & fits & (g[:, 2][:, None] != g[:, 2][None, :]) & (g[:, 1][:, None] < g[:, 1][None, :])
-            i, j = np.nonzero(ok)
-            if len(i):
-                out.append(np.stack([g[i, 1], g[j, 1]], axis=1))
+            ok = (same >= AGREE) & fits & (g[:, 2][:, None] != g[:, 2][None, :])
+            if len(i := np.flatnonzero(ok.any(axis=1))):
+                out.append(g[i, :3])
         return out
 
     def table(found: list[np.ndarray]) -> pa.RecordBatch:
-        x = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[:, 0])), pa.array(np.ascontiguousarray(x[:, 1]))], names=["a", "b"])
+        x = np.concatenate(found)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[:, k])) for k in range(3)], names=names[:3])
 
     for batch in batches:
         rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1)
@@ -136,6 +153,85 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[p
         yield table(found)
 
 
+def forest(recs: list[int], comps: list[int], sizes: list[int], levels: list[int], found: list[np.ndarray], alike: int) -> list[tuple[int, int, bool]]:
+    """Links (a, b, sure) across the components of one node.
+
+    Sure ones are exact and span what whole sets link; a pair with a sampled set is named, unsure,
+    where the sample does not rule it out.
+    """
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := top.get(x, x)) != x:
+            top[x] = top.get(y, y)
+            x = y
+        return x
+
+    out, size = [], np.array(sizes, np.int64)
+    whole = np.flatnonzero(np.array(levels) == 0)
+    if len(whole) > 1:
+        sets = [found[i] for i in whole]
+        values, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = count > 1
+        column = (np.cumsum(shared) - 1)[place]
+        row = np.repeat(np.arange(len(whole)), [len(x) for x in sets])
+        row, column = row[shared[place]], column[shared[place]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(whole), len(whole)), np.float32)
+        for c in range(0, int(shared.sum()), 4096):
+            a, b = np.searchsorted(column, [c, c + 4096])
+            x = np.zeros((len(whole), 4096), np.float32)
+            x[row[a:b], column[a:b] - c] = 1
+            common += x @ x.T
+        n, own = size[whole], np.array(comps)[whole]
+        ok = 100 * common.astype(np.int64) >= alike * (n[:, None] + n[None, :] - common.astype(np.int64))
+        for i, j in np.argwhere(np.triu(ok & (own[:, None] != own[None, :]))).tolist():
+            p, q = find(int(own[i])), find(int(own[j]))
+            if p != q:
+                top[p] = q
+                out.append((*sorted((recs[whole[i]], recs[whole[j]])), True))
+    for i in np.flatnonzero(np.array(levels) > 0).tolist():
+        for j in range(len(recs)):
+            if (levels[j] and j <= i) or find(comps[i]) == find(comps[j]) or 100 * min(sizes[i], sizes[j]) < alike * max(sizes[i], sizes[j]):
+                continue
+            cut_at = np.uint64(1) << np.uint64(64 - max(levels[i], levels[j]))
+            x, y = (v.view(np.uint64)[v.view(np.uint64) < cut_at] for v in (found[i], found[j]))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            union = len(x) + len(y) - both
+            s = alike / 100
+            if both + 5 * np.sqrt(s * (1 - s) * union) + 1 >= s * union:
+                out.append((*sorted((recs[i], recs[j])), False))
+    return out
+
+
+def _links(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordBatch]:
+    """Rows with sets, sorted by node: the links of every node."""
+    node, held = None, ([], [], [], [], [])
+
+    def answer(found):
+        cols = list(zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.bool_()), strict=True)], names=["a", "b", "sure"])
+
+    for batch in batches:
+        lists = batch.column("found")
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        told = []
+        for k, (v, *row) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("node", "rec", "comp", "n", "level")], strict=True)):
+            if v != node:
+                if len(held[0]) > 1:
+                    told += forest(*held, alike)
+                node, held = v, ([], [], [], [], [])
+            for c, x in zip(held, (*row, flat[ends[k] : ends[k + 1]]), strict=True):
+                c.append(x)
+        # what stays for the next batch must not hold on to this one
+        held[4][:] = [x.copy() for x in held[4]]
+        if told:
+            yield answer(told)
+    if len(held[0]) > 1 and (told := forest(*held, alike)):
+        yield answer(told)
+
+
 def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs without most of the rows whose doc_id is not in ids: one hash bit each, in a table of at most FILTER rows.
 
@@ -148,12 +244,19 @@ def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return j.filter(F.col("__bits").bitwiseAND(bit("doc_id")) != 0).select(docs.columns)
 
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, most: int | None = None) -> DataFrame:
+    """SETS of the texts whose doc_id is in ids; both are written to the shared folder."""
+    ids = cut(ids, "neardup-ids")
+    sets = maybe_in(docs.select("doc_id", "text"), ids).join(ids, "doc_id", "left_semi").mapInArrow(partial(_sets, most=most), SETS)
+    sets = cut(sets, "neardup-sets")
+    drop_cut(ids)
+    return sets
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, alike: int = 75) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= alike * union."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = cut(ids, "neardup-ids")
-    sets = maybe_in(docs.select("doc_id", "text"), ids).join(ids, "doc_id", "left_semi").mapInArrow(_sets, "rec long, found array<long>")
-    sets = cut(sets, "neardup-sets")
+    sets = shingle_sets(docs, ids)
     left, right = sets.select(F.col("rec").alias("a"), F.col("found").alias("x")), sets.select(F.col("rec").alias("b"), F.col("found").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
@@ -179,84 +282,111 @@ def near_duplicates(docs: DataFrame, alike: int = 75) -> DataFrame:
 
     # first-level nodes: tree, pick and token decide
     first = recs.select("rec", "n_shingles", "s0", "s1", F.posexplode(F.slice("tokens", 1, TREES * PICKS)).alias("pick", "token"))
-    first = first.select(F.xxhash64("pick", "token").alias("node"), F.floor(F.col("pick") / PICKS).cast("int").alias("tree"), "rec", "n_shingles", "s0", "s1")
+    first = first.select(F.xxhash64("pick", "token").alias("node"), "rec", "n_shingles", "s0", "s1")
     least = first.groupBy("node").agg(F.min(F.struct("rec", "n_shingles", "s0", "s1")).alias("m"), F.count("*").alias("n")).filter("n > 1")
-    least = least.select(F.col("node").alias("k"), F.col("m.rec").alias("p"), F.col("m.n_shingles").alias("pn"), F.col("m.s0").alias("p0"), F.col("m.s1").alias("p1"))
-    star = first.join(least, first["node"] == least["k"]).filter((F.col("p") < F.col("rec")) & _fits(F.col("n_shingles"), F.col("pn"), alike) & (agreement(F.col("s0"), F.col("s1"), F.col("p0"), F.col("p1")) >= AGREE))
-    star = cut(star.groupBy(F.col("rec").alias("b")).agg(F.min("p").alias("a")).select("a", "b"), "neardup-star")
+    # written, so that a node that many records share can be split in the join
+    least = cut(least.select(F.col("node").alias("k"), F.col("m.rec").alias("p"), F.col("m.n_shingles").alias("pn"), F.col("m.s0").alias("p0"), F.col("m.s1").alias("p1")), "neardup-least")
+    alike_by = agreement(F.col("s0"), F.col("s1"), F.col("p0"), F.col("p1"))
+    star = first.join(least, first["node"] == least["k"]).filter((F.col("p") < F.col("rec")) & _fits(F.col("n_shingles"), F.col("pn"), alike)).withColumn("same", alike_by).filter(F.col("same") >= AGREE)
+    star = cut(star.groupBy(F.col("rec").alias("b")).agg(F.max(F.struct("same", (-F.col("p")).alias("p"))).alias("m")).select((-F.col("m.p")).alias("a"), "b"), "neardup-star")
     links = confirm(star, docs, alike)
-    # every record has one link upwards, so following links twice as far each time soon names the top;
-    # a label that is not yet the top only prunes less
-    labels = cut(links.select(F.col("b").alias("node"), F.col("a").alias("component")), "neardup-labels")
-    for _ in range(JUMPS):
-        above = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        further = cut(labels.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "neardup-labels")
-        drop_cut(labels)
-        labels = further
-
-    pairs = _deeper(recs, labels, alike)
-    more = confirm(pairs.join(star, ["a", "b"], "left_anti"), docs, alike)
     # a doc_id that repeats with different texts joins their groups
     several = known.groupBy("doc_id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).filter("lo <> hi").select("doc_id")
     same = known.join(several, "doc_id").join(groups, ["d1", "d2", "n_shingles"]).select(F.col("rec").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct()
-    whole = components(links.union(more).union(same))
+    whole = _deeper(recs, links.union(same), docs, alike)
     copies = known.join(groups.filter("last > rec"), ["d1", "d2", "n_shingles"]).filter("doc_id <> rec").groupBy("doc_id").agg(F.min("rec").alias("rec"))
     out = signed.select("doc_id", "n_shingles").join(copies, "doc_id", "left").withColumn("rec", F.coalesce("rec", "doc_id"))
     out = out.join(whole, F.col("rec") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "rec").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    drop_cut(recs, least, star)
+    return out
 
 
 def keep_one(docs: DataFrame, alike: int = 75) -> DataFrame:
-    """docs without the documents that near_duplicates() does not keep; of rows that repeat a doc_id one stays."""
+    """docs without the documents that near_duplicates() does not keep; all columns stay.
+
+    Rows with a null doc_id, and null or empty texts, stay. Of the rows that repeat a kept doc_id with
+    equal texts the one with the smallest hash of its other columns stays; different texts of one
+    doc_id all stay. An empty table gives an empty result.
+    """
     gone = cut(near_duplicates(docs, alike).filter("not kept").select("doc_id").distinct(), "neardup-gone")
     out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if again.isEmpty():
         return out
-    return out.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(out.filter("doc_id is null"))
-
+    again = cut(again, "neardup-again")
+    rest = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    one = out.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min_by(F.struct(*docs.columns), rest).alias("row")).select("row.*")
+    return out.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+
+
+def _deeper(recs: DataFrame, links: DataFrame, docs: DataFrame, alike: int) -> DataFrame:
+    """node, component: labels of the records after all nodes are compared, small ones first."""
+    links = cut(links, "neardup-links")
+    labels = cut(components(links), "neardup-labels")
+
+    def tag(rows: DataFrame) -> DataFrame:
+        """rows (node, rec) of nodes with more than one component: comp, n (records), k and top (size and label of the largest component)."""
+        mine = labels.select(F.col("node").alias("rec"), F.col("component").alias("comp"))
+        rows = cut(rows.join(mine, "rec", "left").select("node", "rec", F.coalesce("comp", "rec").alias("comp")), "neardup-rows")
+        stats = rows.groupBy("node", "comp").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).filter("comps > 1")
+        # written, so that a node that many records share can be split in the join
+        stats = cut(stats.select("node", "n", F.col("top.k").alias("k"), F.col("top.comp").alias("top")), "neardup-stats")
+        out = cut(rows.join(stats, "node"), "neardup-level")
+        drop_cut(rows, stats)
+        return out
 
-def _deeper(recs: DataFrame, comps: DataFrame, alike: int) -> DataFrame:
-    """Candidate pairs across components from small nodes, and from blocks of what never gets small."""
-    tagged = recs.join(comps, recs["rec"] == comps["node"], "left").select("rec", F.coalesce("component", "rec").alias("comp"), "n_shingles", "s0", "s1", "tokens")
-    tagged = cut(tagged, "neardup-tagged")
-    picks = F.transform(F.slice("tokens", 1, TREES * PICKS), lambda t, i: F.struct(F.xxhash64(F.lit(0), i, t).alias("node"), F.floor(i / PICKS).cast("int").alias("tree")))
-    level = tagged.select("rec", "comp", F.explode(picks).alias("x")).select(F.xxhash64("x.tree", "x.node").alias("node"), "rec", "comp")
-    ready, large = [], None
-    for depth in range(1, DEPTH + 1):
-        parts = level.groupBy("node", "comp").agg(F.count("*").alias("k"))
-        stats = parts.groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).filter("comps > 1")
-        stats = stats.select("node", "n", F.col("top.k").alias("k"), F.col("top.comp").alias("top"))
-        level = cut(level.join(stats, "node"), f"neardup-level{depth}")
-        ready.append(level.filter(F.col("n") <= NODE).select("node", "rec", "comp"))
+    def parts(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What can be compared (nodes of bounded size), and the rows of nodes that are too large."""
         rest = F.col("n") - F.col("k")
         chunks = F.ceil(F.col("k") / NODE).cast("int")
         mine = F.array(F.pmod(F.xxhash64("rec"), chunks).cast("int"))
         star = level.filter((F.col("n") > NODE) & (rest <= NODE)).withColumn("chunk", F.explode(F.when(F.col("comp") == F.col("top"), mine).otherwise(F.sequence(F.lit(0), chunks - 1))))
-        ready.append(star.select(F.xxhash64("node", "chunk").alias("node"), "rec", "comp"))
-        large = level.filter((F.col("n") > NODE) & (rest > NODE))
-        if depth == DEPTH:
-            break
-        if large.isEmpty():
-            large = None
-            break
+        ready = level.filter(F.col("n") <= NODE).select("node", "rec", "comp").union(star.select(F.xxhash64("node", "chunk").alias("node"), "rec", "comp"))
+        return ready, level.filter((F.col("n") > NODE) & (rest > NODE))
+
+    def children(large: DataFrame, depth: int) -> DataFrame:
         h = F.xxhash64("node", F.lit(depth))
         own = COORDS - TREES * PICKS
         c1 = F.pmod(h, F.lit(own))
         c2 = F.pmod(c1 + 1 + F.pmod(F.shiftright(h, 8), F.lit(own - 1)), F.lit(own))
-        large = large.join(tagged.select("rec", "tokens"), "rec").select("node", "rec", "comp", c1.cast("int").alias("c1"), c2.cast("int").alias("c2"), "tokens")
+        second = F.lit(True) if depth < 3 else F.pmod(F.shiftright(h, 20), F.lit(2)) == 0
+        x = large.join(recs.select("rec", "tokens"), "rec").select("node", "rec", c1.cast("int").alias("c1"), c2.cast("int").alias("c2"), second.alias("second"), "tokens")
         token = lambda c: F.element_at("tokens", F.lit(TREES * PICKS + 1) + F.col(c))
-        children = F.array(F.xxhash64("node", "c1", token("c1")), F.xxhash64("node", "c2", token("c2")))
-        level = large.select(F.explode(children).alias("node"), "rec", "comp")
-    if large is not None:
-        blocks = F.ceil(F.col("n") / (NODE // 2)).cast("int")
-        mine = F.pmod(F.xxhash64("rec"), blocks).cast("int")
-        large = large.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        pair = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-        ready.append(large.select(pair.alias("node"), "rec", "comp"))
-    rows = ready[0]
-    for x in ready[1:]:
-        rows = rows.union(x)
-    rows = rows.join(tagged.select("rec", "s0", "s1", "n_shingles"), "rec").select("node", "rec", "comp", "s0", "s1", "n_shingles")
-    pairs = rows.repartition("node").sortWithinPartitions("node").mapInArrow(partial(_pairs_in_nodes, alike=alike), "a long, b long").distinct()
-    return cut(pairs, "neardup-pairs")
+        one, two = F.xxhash64("node", "c1", token("c1")), F.xxhash64("node", "c2", token("c2"))
+        return x.select(F.explode(F.when(F.col("second"), F.array(one, two)).otherwise(F.array(one))).alias("node"), "rec")
+
+    def blocks(large: DataFrame) -> DataFrame:
+        x = large.withColumn("blocks", F.ceil(F.col("n") / (NODE // 2)).cast("int"))
+        x = x.withColumn("mine", F.pmod(F.xxhash64("rec"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return x.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "rec", "comp")
+
+    def compare(ready: DataFrame) -> DataFrame:
+        rows = ready.join(recs.select("rec", "s0", "s1", "n_shingles"), "rec").select("node", "rec", "comp", "s0", "s1", "n_shingles")
+        maybe = cut(rows.repartition("node").sortWithinPartitions("node").mapInArrow(partial(_partners, alike=alike), "node long, rec long, comp long"), "neardup-maybe")
+        sets = shingle_sets(docs, maybe.select(F.col("rec").alias("doc_id")).distinct(), FULL)
+        rows = maybe.join(sets, "rec").select("node", "rec", "comp", "n", "level", "found").repartition("node").sortWithinPartitions("node", "rec")
+        told = cut(rows.mapInArrow(partial(_links, alike=alike), "a long, b long, sure boolean").distinct(), "neardup-told")
+        sure, unsure = told.filter("sure").select("a", "b"), told.filter("not sure").select("a", "b")
+        out = sure if unsure.isEmpty() else sure.union(confirm(unsure, docs, alike))
+        out = cut(out, "neardup-found")
+        drop_cut(maybe, sets, told)
+        return out
+
+    picks = F.transform(F.slice("tokens", 1, TREES * PICKS), lambda t, i: F.xxhash64(i, t))
+    ready, large = parts(tag(recs.select(F.explode(picks).alias("node"), "rec")))
+    for depth in range(1, DEPTH + 1):
+        found = compare(ready)
+        if not found.isEmpty():
+            links = cut(links.union(found), "neardup-links")
+            labels = cut(components(links), "neardup-labels")
+        if large.isEmpty():
+            return labels
+        # the new labels may have joined all but a few records of a large node
+        ready, large = parts(tag(large.select("node", "rec")))
+        if depth == DEPTH:
+            break
+        more, large = parts(tag(children(large, depth)))
+        ready = ready.union(more)
+    last = compare(ready.union(blocks(large)))
+    return cut(components(links.union(last)), "neardup-labels")
