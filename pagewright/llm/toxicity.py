@@ -1,16 +1,21 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon entries and patterns: a fixed list of insults, whole words and word beginnings
-that occur in toxic training documents far more often than chance (likelihood ratio; at least GROUPS of those documents must not
-be copies of one another, by their smallest shingle hash), and patterns on their number and density. A generative model takes the label of a document as hidden: it
-estimates by expectation maximisation how often each voter fires on either label, and from what
-is left over which voters fire together, and weighs correlated voters down. A linear classifier
-is fitted to its posterior labels and scores all texts.
+Voters are lexicon entries and patterns. Entries are whole words and word beginnings that occur in
+toxic training documents far more often than chance (likelihood ratio; at least GROUPS of those
+documents must not be copies of one another, by their smallest shingle hash); no word is given
+beforehand. Patterns are on the number and density of entries that fire. A generative model takes
+the true label of a document as hidden; the given label is one more voter, of a fixed accuracy (HIT,
+MISS), that anchors it. Expectation maximisation estimates in every round how often each voter
+fires on either label (its accuracy), and from what the hidden label leaves unexplained which
+voters fire together; these share their weight. As dependences of more than two voters stay, all
+votes together move the log odds by BELIEF at most. A linear classifier is fitted to the posterior
+labels and scores all texts.
 
 Labels come from training rows only. Counts of words by label run over all training rows; the
-voter matrix and the classifier are fitted on at most SAMPLE training rows (smallest hashes first).
-Ids and labels are broadcast, packed where there are at most PACKED of them, so that no text is
-shuffled; beyond that the texts of labelled rows are shuffled once. Every document is scored whole.
+voter matrix and the classifier are fitted on at most SAMPLE training rows and as many different
+rows of votes (smallest hashes first), equal rows by their number. Ids and labels are broadcast,
+packed where there are at most PACKED of them, so that no text is shuffled; beyond that the texts
+of labelled rows are shuffled once. Every document is scored whole.
 """
 
 from __future__ import annotations
@@ -23,26 +28,33 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_hexdigest
 
-from pagewright.llm.common import cut
+from pagewright.llm.common import cut, drop_cut
 from pagewright.llm.shingles import mix, shingle_set
 
-SAMPLE, LEXICON, SURE, GROUPS = 30_000, 600, 30.0, 8
+SAMPLE, LEXICON, SURE, GROUPS = 30_000, 600, 25.0, 5
 PACKED = 20_000_000
 THRESHOLD = 0.3
-# fixed values: insults in plain use
-INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
 STEMS = (4, 5, 6)
+#: How often the given label says 1 where the hidden one is 1, and where it is 0; most log odds of all votes.
+HIT, MISS, BELIEF = 0.98, 0.002, 3.0
+#: A longer word is known by its hash.
+LONG = 24
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def entries(text: str | None) -> set[str]:
     """Distinct words and word beginnings ("stem-") of a text, lowered."""
     found = set(_LETTERS.findall((text or "").lower()))
-    out = set(found)
+    out = {known_as(w) for w in found}
     for n in STEMS:
         out.update(w[:n] + "-" for w in found if len(w) > n)
-    return {x for x in out if len(x) <= 24}
+    return out
+
+
+def known_as(word: str) -> str:
+    return word if len(word) <= LONG else "#" + xxh3_128_hexdigest(word.encode("utf-8", "surrogatepass"))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,24 +117,27 @@ def count_entries(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def lexicon(docs: DataFrame, rows: DataFrame) -> list[str]:
-    """The fixed list and the up to LEXICON surest entries; counts cover all training rows."""
+    """The up to LEXICON surest entries that no surer one covers; counts cover all training rows."""
     n = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(rows, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
-        return list(INSULTS)
+        return []
     counts = count_entries(docs, rows)
     sure = counts.filter(F.bit_count("groups") >= GROUPS).withColumn("lr", likelihood_ratio(F.col("a"), F.col("b"), n1, n0)).filter(F.col("lr") >= SURE)
-    top = sure.orderBy(F.desc("lr"), "entry").limit(LEXICON).select("entry").collect()
-    return compact([*INSULTS, *[r[0] for r in top]])
+    top = sure.orderBy(F.desc("lr"), "entry").limit((len(STEMS) + 1) * LEXICON).select("entry").collect()
+    return compact([r[0] for r in top])[:LEXICON]
 
 
 def compact(found: list[str]) -> list[str]:
-    """Entries in order, without those that begin like an earlier one or that an earlier one begins with."""
-    out: list[str] = []
+    """Entries in order, without those that an earlier beginning covers."""
+    out, stems = [], set()
     for x in found:
         s = x.rstrip("-")
-        if not any(s.startswith(y.rstrip("-")) or y.startswith(s) for y in out):
+        # a word of n letters is covered by beginnings of fewer, a beginning by shorter ones
+        if not any(len(s) > n and s[:n] in stems for n in STEMS):
             out.append(x)
+            if x != s:
+                stems.add(s)
     return out
 
 
@@ -133,9 +148,9 @@ def votes(text: str | None, place: dict[str, int]) -> np.ndarray:
     hits = 0
     for w in set(found):
         here = False
-        for x in (w, w[:4] + "-", w[:5] + "-", w[:6] + "-"):
+        for x in (known_as(w), *(w[:n] + "-" for n in STEMS if len(w) > n)):
             k = place.get(x)
-            if k is not None and (x == w or len(w) > len(x) - 1):
+            if k is not None:
                 out[k] = 1
                 here = True
         hits += here
@@ -143,39 +158,42 @@ def votes(text: str | None, place: dict[str, int]) -> np.ndarray:
     return out
 
 
-def label_model(v: np.ndarray, y: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Posterior of label 1 for every row of votes v; labels y start the estimates and set the prior."""
-    prior = (y.sum() + 1) / (len(y) + 2)
-    post = y.astype(float)
+def label_model(v: np.ndarray, y: np.ndarray, count: np.ndarray, prior: float, rounds: int = 50) -> np.ndarray:
+    """Posterior of label 1 for every row of votes v with given label y, which stands for `count` documents."""
+    total = count.sum()
+    told = math.log(prior / (1 - prior)) + np.where(y == 1, math.log(HIT / MISS), math.log((1 - HIT) / (1 - MISS)))
+    post = 1 / (1 + np.exp(-told))
     weight = np.ones(v.shape[1])
-    for r in range(rounds):
-        p1 = (post @ v + 0.5) / (post.sum() + 1)
-        p0 = ((1 - post) @ v + 0.05) / ((1 - post).sum() + 1)
-        if r == 0:
-            # what the label leaves unexplained: voters that fire together share one weight
-            rest = v - np.outer(post, p1) - np.outer(1 - post, p0)
-            scale = np.sqrt((rest**2).mean(axis=0)) + 1e-9
-            corr = np.abs((rest / scale).T @ (rest / scale) / len(v))
-            corr[corr < 0.4] = 0
-            weight = 1 / np.maximum(1, corr.sum(axis=1))
-        odds = math.log(prior / (1 - prior)) + (v * weight) @ (np.log(p1) - np.log(p0)) + ((1 - v) * weight) @ (np.log1p(-np.minimum(p1, 0.999)) - np.log1p(-np.minimum(p0, 0.999)))
-        new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if np.abs(new - post).max() < 1e-4:
-            break
+    for _ in range(rounds):
+        on, off = post * count, (1 - post) * count
+        p1 = (on @ v + 0.5) / (on.sum() + 1)
+        p0 = (off @ v + 0.5) / (off.sum() + 1)
+        # what the hidden label leaves unexplained: voters that fire together share their weight
+        rest = v - np.outer(post, p1) - np.outer(1 - post, p0)
+        scale = np.sqrt((count @ rest**2) / total) + 1e-9
+        corr = np.abs((rest * count[:, None] / scale).T @ (rest / scale) / total)
+        np.fill_diagonal(corr, 1)
+        corr[corr < 0.2] = 0
+        weight = 0.5 * weight + 0.5 / np.maximum(1, corr.sum(axis=1))
+        odds = (v * weight) @ (np.log(p1) - np.log(p0)) + ((1 - v) * weight) @ (np.log1p(-np.minimum(p1, 0.999)) - np.log1p(-np.minimum(p0, 0.999)))
+        new = 1 / (1 + np.exp(-(told + np.clip(odds, -BELIEF, BELIEF))))
+        moved = np.abs(new - post).max()
         post = new
+        if moved < 1e-4:
+            break
     return post
 
 
-def linear(v: np.ndarray, post: np.ndarray, steps: int = 30, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear(v: np.ndarray, post: np.ndarray, count: np.ndarray, steps: int = 30, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on posterior labels by Newton steps; the intercept is not penalised."""
     x = np.concatenate([v, np.ones((len(v), 1), v.dtype)], axis=1).astype(np.float64)
-    ridge = np.full(x.shape[1], penalty * len(x))
+    ridge = np.full(x.shape[1], penalty * count.sum())
     ridge[-1] = 1e-9
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(h, x.T @ (p - post) + ridge * w)
+        h = (x * (count * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(h, x.T @ (count * (p - post)) + ridge * w)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
@@ -198,13 +216,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarray,
             bits = [np.packbits(votes(t.as_py(), place) > 0).tobytes() for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(bits, pa.binary())], names=["toxic", "votes"])
 
-    seen = train.mapInArrow(cast, "toxic int, votes binary").groupBy("toxic", "votes").count().collect()
-    if not seen:
-        return place, np.concatenate([np.full(len(place), 3.0), np.zeros(4)]), -3.0
-    seen.sort(key=lambda r: (r[0], bytes(r[1])))
-    v = np.stack([np.unpackbits(np.frombuffer(bytes(r[1]), np.uint8), count=width) for r in seen for _ in range(r[2])]).astype(np.float32)
-    y = np.array([r[0] for r in seen for _ in range(r[2])])
-    w, b = linear(v, label_model(v, y))
+    rows_of = train.mapInArrow(cast, "toxic int, votes binary").groupBy("toxic", "votes").agg(F.count("*").alias("n"))
+    seen = rows_of.orderBy(F.xxhash64("votes", "toxic"), "votes", "toxic").limit(SAMPLE).collect()
+    drop_cut(rows, chosen)
+    if not seen or not place:
+        return place, np.zeros(width), -3.0
+    v = np.stack([np.unpackbits(np.frombuffer(bytes(r["votes"]), np.uint8), count=width) for r in seen]).astype(np.float32)
+    y, count = np.array([r["toxic"] for r in seen]), np.array([r["n"] for r in seen], np.float64)
+    w, b = linear(v, label_model(v, y, count, (y @ count + 1) / (count.sum() + 2)), count)
     return place, w, b
 
 
@@ -213,7 +232,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
     A null text scores as an empty one, with the score of a document without any hit. A null doc_id
     is held_out null. Repeated rows are scored alike; labels that contradict count as toxic; labels
-    other than 0 and 1 don't count. Without any usable label the fixed list alone decides. An empty
+    other than 0 and 1 don't count. Without any usable label all score alike, as clean. An empty
     table gives an empty result; further columns are ignored.
     """
     place, w, b = fit(docs, labels)
@@ -229,7 +248,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows whose score reaches the threshold; all columns stay."""
+    """docs without the rows whose score reaches the threshold; all columns stay.
+
+    Null and empty texts score as texts without any hit and stay; rows with a null doc_id and rows that
+    repeat are judged by their texts like all others. An empty table gives an empty result.
+    """
     place, w, b = fit(docs, labels)
     names = docs.columns
     schema = docs.schema
