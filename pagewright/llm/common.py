@@ -12,6 +12,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACES = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Words of 64 bits in the table of wanted ids that texts are filtered by before they are shuffled.
+FILTER = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,6 +71,31 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(right, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def _by_bit(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs with __maybe: whether the hash bit of doc_id is set in a table of the bits of ids.
+
+    The table has FILTER rows at most at any number of ids, so it can be broadcast; the more ids, the
+    less it holds back.
+    """
+    word = lambda c: F.pmod(F.shiftright(F.xxhash64(c), 6), F.lit(FILTER))
+    bit = lambda c: F.expr(f"shiftleft(1L, cast(xxhash64({c}) & 63 as int))")
+    table = ids.select(word("doc_id").alias("__w"), bit("doc_id").alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
+    j = docs.withColumn("__w", word("doc_id")).join(F.broadcast(table), "__w", "left")
+    return j.select(*docs.columns, (F.coalesce("__bits", F.lit(0)).bitwiseAND(bit("doc_id")) != 0).alias("__maybe"))
+
+
+def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without most of the rows whose doc_id is not in ids."""
+    return _by_bit(docs, ids).filter("__maybe").drop("__maybe")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in ids; of the others, few texts are shuffled."""
+    rows = _by_bit(docs, ids)
+    rest = rows.filter("__maybe").join(ids, "doc_id", "left_anti")
+    return rows.filter("not __maybe").select(docs.columns).union(rest.select(docs.columns))
+
+
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], spread: Column, buckets: int, name: str) -> DataFrame:
     """df with a column `name`: 0, 1, 2 ... within each group of `keys`.
 

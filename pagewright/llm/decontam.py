@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import cut, let, words
+from pagewright.llm.common import cut, let, maybe_in, without, words
 
 WIDTH, RADIUS, BLOCKS = 5, 20, 7
 #: Block sizes in bits, 64 together.
@@ -100,7 +100,8 @@ def _windows(docs: DataFrame, hashed: DataFrame, items: DataFrame, width: int) -
     hits = cut(hits.select("doc_id", "all", "n", "m", starts.alias("starts")).filter(F.size("starts") > 0), "decontam-windows")
     # a repeated doc_id brings its other rows along; windows are taken where the length agrees
     again = hits.groupBy("doc_id").agg(F.collect_list(F.struct("all", "n", "m", "starts")).alias("w"))
-    text = docs.join(again, "doc_id").select("doc_id", "w", shingles(hashed_words(F.col("text")), width).alias("found"))
+    # only texts with windows are shuffled, and the few that the table of ids lets pass besides
+    text = maybe_in(docs, again.select("doc_id")).join(again, "doc_id").select("doc_id", "w", shingles(hashed_words(F.col("text")), width).alias("found"))
     text = text.select("doc_id", "found", F.explode("w").alias("w")).filter(F.size("found") == F.col("w.all"))
     return text.select("doc_id", F.col("w.n").alias("n"), F.col("w.m").alias("m"), "found", F.explode("w.starts").alias("at")).select("doc_id", "n", "at", F.slice("found", F.col("at") + 1, F.col("m")).alias("found"))
 
@@ -139,6 +140,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, alike: int = 75) -> Data
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold a benchmark passage; rows with a null doc_id stay."""
+    """docs without the documents that hold a benchmark passage; all columns stay.
+
+    Rows with a null doc_id, and null or empty texts, stay. Rows that repeat a contaminated doc_id all
+    go. An empty table of either kind gives docs unchanged.
+    """
     ids = cut(contaminated(docs, benchmark).select("doc_id").distinct(), "decontam-ids")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, ids)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import cut, drop_cut
+from pagewright.llm.common import cut, drop_cut, maybe_in, without
 from pagewright.llm.components import components
 from pagewright.llm.shingles import mix, shingle_set
 
@@ -42,8 +42,6 @@ TREES, PICKS, COORDS, FUNCTIONS = 6, 2, 40, 128
 NODE, DEPTH = 256, 12
 #: Sets of more shingles travel to nodes as a sample by hash of about this size; their pairs are confirmed on full sets.
 FULL = 2048
-#: Words of 64 bits in the table of wanted ids that texts are filtered by before they are shuffled.
-FILTER = 1 << 18
 #: Sketch bits that agree: 112 of 128 are expected at similarity 0.75, with a deviation of 3.7; 93 is five deviations below.
 AGREE = 93
 _rng = np.random.default_rng(20240607)
@@ -232,18 +230,6 @@ def _links(batches: Iterator[pa.RecordBatch], alike: int) -> Iterator[pa.RecordB
         yield answer(told)
 
 
-def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without most of the rows whose doc_id is not in ids: one hash bit each, in a table of at most FILTER rows.
-
-    The table has this size at any number of ids, so it can be broadcast; the more ids, the less it holds back.
-    """
-    word = lambda c: F.pmod(F.shiftright(F.xxhash64(c), 6), F.lit(FILTER))
-    bit = lambda c: F.expr(f"shiftleft(1L, cast(xxhash64({c}) & 63 as int))")
-    table = ids.select(word("doc_id").alias("__w"), bit("doc_id").alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
-    j = docs.withColumn("__w", word("doc_id")).join(F.broadcast(table), "__w")
-    return j.filter(F.col("__bits").bitwiseAND(bit("doc_id")) != 0).select(docs.columns)
-
-
 def shingle_sets(docs: DataFrame, ids: DataFrame, most: int | None = None) -> DataFrame:
     """SETS of the texts whose doc_id is in ids; both are written to the shared folder."""
     ids = cut(ids, "neardup-ids")
@@ -310,7 +296,7 @@ def keep_one(docs: DataFrame, alike: int = 75) -> DataFrame:
     doc_id all stay. An empty table gives an empty result.
     """
     gone = cut(near_duplicates(docs, alike).filter("not kept").select("doc_id").distinct(), "neardup-gone")
-    out = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    out = without(docs, gone)
     again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if again.isEmpty():
         return out
