@@ -13,21 +13,21 @@ where it branches on `PICKS` tokens: records with the same token share a node. W
    forest of its links, so with fewer links than it has records. A larger node in which all but
    `NODE` records are joined already is cut into pieces of the joined ones, each compared with all
    the others.
-3. Labels are drawn up again. Larger nodes that the new labels don't shrink branch on tokens chosen
-   by the node's hash: on `PICKS` down to depth 3, then on one or two in equal parts, so that rows
-   grow by half with a level while nodes of unlinked records shrink by their similarity. What is
-   still large at depth `DEPTH` is compared in blocks of `NODE` / 2 records, each block against each.
-
-At similarity s a node keeps a linked pair together with probability at least q = 1 - (1 - s q)^PICKS
-per tree, 0.889 at s = 0.75, down to depth 3, so six trees miss at most 0.111^6 = 2e-6 of such pairs;
-beyond depth 3 the limit of the survival is 0.44 for a node, and 3e-4 of the pairs are missed that
-never meet in a smaller node and that no other link joins.
+3. Labels are drawn up again. Larger nodes branch on tokens chosen by the node's hash, on one in two
+   of three nodes and on two in the others, so that the rows of a linked pair neither grow nor
+   shrink from level to level, while nodes of unlinked records shrink by their similarity. What is
+   still large at depth `DEPTH` is compared in blocks of `NODE` / 2 records, each block against
+   each; all nodes below the first level are compared at once.
+
+A pair of similarity 0.75 that never meets in a smaller node survives a first-level node's branching
+with q' = q - 0.1875 q^2 a level, 0.48 at depth 5: of the 12 first-level nodes none keeps it with
+(1 - 0.75 * 0.48)^12 = 0.5 %. Pairs of nodes that are small at once are missed with 0.25^12 = 6e-8.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -307,19 +307,27 @@ def keep_one(docs: DataFrame, alike: int = 75) -> DataFrame:
 
 
 def _deeper(recs: DataFrame, links: DataFrame, docs: DataFrame, alike: int) -> DataFrame:
-    """node, component: labels of the records after all nodes are compared, small ones first."""
-    links = cut(links, "neardup-links")
+    """node, component: labels of the records after all nodes are compared, those of the first level first."""
     labels = cut(components(links), "neardup-labels")
 
+    def relabel(found: DataFrame) -> DataFrame:
+        """Labels after further links, by the components of the labels that these join."""
+        of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        j = found.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        joined = cut(components(j.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "neardup-joined")
+        to = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        moved = labels.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        return cut(moved.union(joined.join(labels.select("node"), "node", "left_anti").select("node", "component")), "neardup-labels")
+
     def tag(rows: DataFrame) -> DataFrame:
         """rows (node, rec) of nodes with more than one component: comp, n (records), k and top (size and label of the largest component)."""
         mine = labels.select(F.col("node").alias("rec"), F.col("component").alias("comp"))
-        rows = cut(rows.join(mine, "rec", "left").select("node", "rec", F.coalesce("comp", "rec").alias("comp")), "neardup-rows")
+        rows = rows.join(mine, "rec", "left").select("node", "rec", F.coalesce("comp", "rec").alias("comp"))
         stats = rows.groupBy("node", "comp").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).filter("comps > 1")
         # written, so that a node that many records share can be split in the join
         stats = cut(stats.select("node", "n", F.col("top.k").alias("k"), F.col("top.comp").alias("top")), "neardup-stats")
         out = cut(rows.join(stats, "node"), "neardup-level")
-        drop_cut(rows, stats)
+        drop_cut(stats)
         return out
 
     def parts(level: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -336,7 +344,7 @@ def _deeper(recs: DataFrame, links: DataFrame, docs: DataFrame, alike: int) -> D
         own = COORDS - TREES * PICKS
         c1 = F.pmod(h, F.lit(own))
         c2 = F.pmod(c1 + 1 + F.pmod(F.shiftright(h, 8), F.lit(own - 1)), F.lit(own))
-        second = F.lit(True) if depth < 3 else F.pmod(F.shiftright(h, 20), F.lit(2)) == 0
+        second = F.pmod(F.shiftright(h, 20), F.lit(3)) == 0
         x = large.join(recs.select("rec", "tokens"), "rec").select("node", "rec", c1.cast("int").alias("c1"), c2.cast("int").alias("c2"), second.alias("second"), "tokens")
         token = lambda c: F.element_at("tokens", F.lit(TREES * PICKS + 1) + F.col(c))
         one, two = F.xxhash64("node", "c1", token("c1")), F.xxhash64("node", "c2", token("c2"))
@@ -355,24 +363,19 @@ def _deeper(recs: DataFrame, links: DataFrame, docs: DataFrame, alike: int) -> D
         told = cut(rows.mapInArrow(partial(_links, alike=alike), "a long, b long, sure boolean").distinct(), "neardup-told")
         sure, unsure = told.filter("sure").select("a", "b"), told.filter("not sure").select("a", "b")
         out = sure if unsure.isEmpty() else sure.union(confirm(unsure, docs, alike))
-        out = cut(out, "neardup-found")
-        drop_cut(maybe, sets, told)
+        drop_cut(maybe, sets)
         return out
 
     picks = F.transform(F.slice("tokens", 1, TREES * PICKS), lambda t, i: F.xxhash64(i, t))
     ready, large = parts(tag(recs.select(F.explode(picks).alias("node"), "rec")))
+    labels = relabel(compare(ready))
+    waiting = []
     for depth in range(1, DEPTH + 1):
-        found = compare(ready)
-        if not found.isEmpty():
-            links = cut(links.union(found), "neardup-links")
-            labels = cut(components(links), "neardup-labels")
         if large.isEmpty():
-            return labels
-        # the new labels may have joined all but a few records of a large node
-        ready, large = parts(tag(large.select("node", "rec")))
+            break
         if depth == DEPTH:
+            waiting.append(blocks(large))
             break
-        more, large = parts(tag(children(large, depth)))
-        ready = ready.union(more)
-    last = compare(ready.union(blocks(large)))
-    return cut(components(links.union(last)), "neardup-labels")
+        ready, large = parts(tag(children(large, depth)))
+        waiting.append(ready)
+    return relabel(compare(reduce(DataFrame.union, waiting))) if waiting else labels
