@@ -133,6 +133,14 @@ def text_patterns(text: Column) -> Column:
     )
 
 
+def suggests_visual(text: Column) -> Column:
+    """suggests_visual of text_patterns() alone; the pattern is tried on short texts only."""
+    stripped = strip(text)
+    lines = F.regexp_count(text, F.lit("\\n"))
+    ratio = (lines > 0) & (lines / F.greatest(n_words(text), F.lit(1)) > 0.3)
+    return (stripped != "") & (ratio | F.when(F.length(stripped) < 50, F.upper(text).rlike(VISUAL)).otherwise(False))
+
+
 def worth_asking(text: Column) -> Column:
     """Whether a text is long enough to ask a model about: over 100 characters or over 15 words."""
     s = strip(text)

@@ -57,9 +57,10 @@ def citations(publications: DataFrame, documents: DataFrame) -> DataFrame:
     v = documents.filter(X.has_text(F.col("version"))).groupBy("publication_id").agg(F.min(F.struct(main.alias("k"), "document_id", "version"))["version"].alias("version"))
     p = publications.join(v, "publication_id", "left")
     c = X.strip_or_null
-    year = F.concat(F.lit("("), F.year("publication_date").cast("string"), F.lit(")."))
+    who = F.concat_ws(" ", c(F.col("authors")), F.concat(F.lit("("), F.year("publication_date").cast("string"), F.lit(")")))
+    who = F.when(who != "", F.concat(who, F.lit(".")))
     dot = lambda x: F.concat(c(x), F.lit("."))
-    return p.select("publication_id", F.concat_ws(" ", c(F.col("authors")), year, dot(F.col("title")), dot(F.col("source")), F.concat(F.lit("Version "), c(F.col("version")), F.lit(".")), F.coalesce(c(F.col("source_url")), c(F.col("uri")))).alias("citation"))
+    return p.select("publication_id", F.concat_ws(" ", who, dot(F.col("title")), dot(F.col("source")), F.concat(F.lit("Version "), c(F.col("version")), F.lit(".")), F.coalesce(c(F.col("source_url")), c(F.col("uri")))).alias("citation"))
 
 
 def cascade_delete(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

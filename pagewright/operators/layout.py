@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from pagewright.functions import exprs as X
 
 
+# fixed values: block types whose text stands around a picture
+CONTEXT_TYPES = ["Text", "Title", "Section header", "Caption", "List item", "Formula", "Table"]
+
+
 def correct_page_dimensions(blocks: DataFrame, actual: DataFrame) -> DataFrame:
     """Width and height of a page are replaced, both, where either is off by more than 1; pages without a known size stay."""
     a = actual.select("doc_id", "page_number", F.col("width").alias("aw"), F.col("height").alias("ah"))
@@ -58,31 +62,34 @@ def visual_candidates(blocks: DataFrame, rects: DataFrame) -> DataFrame:
     """Why a text block may be a picture: the first rule that fires, else null.
 
     Rules in order: large_empty (over 5000), large_text (over 200000), visual_pattern, image (not for
-    empty blocks); then drawings, of which fewer than three must include one that is no rule.
+    empty blocks); then drawings, of which fewer than three must include one that is no rule. A block
+    with an image is a picture at once; the other rules only make candidates.
     """
     found = containment(blocks, rects)
     b = blocks.filter(F.col("type") == "Text").join(found, ["doc_id", "input_pos"], "left")
     size = X.area(X.bbox_integers(F.col("left"), F.col("top"), F.col("width"), F.col("height")))
-    p = X.text_patterns(F.col("text"))
+    empty = X.strip(F.col("text")) == ""
     drawn = F.when(F.col("n_drawings") < 3, F.col("n_shapes") > 0).otherwise(F.col("n_drawings") > 0)
     rule = (
-        F.when(p["is_empty"] & (size > 5000), "large_empty").when(~p["is_empty"] & (size > 200000), "large_text").when(p["suggests_visual"], "visual_pattern")
-        .when(~p["is_empty"] & (F.coalesce("n_images", F.lit(0)) > 0), "image").when(F.coalesce(drawn, F.lit(False)), "drawing")
+        F.when(empty & (size > 5000), "large_empty").when(~empty & (size > 200000), "large_text").when(X.suggests_visual(F.col("text")), "visual_pattern")
+        .when(~empty & (F.coalesce("n_images", F.lit(0)) > 0), "image").when(F.coalesce(drawn, F.lit(False)), "drawing")
     )
     return b.select("doc_id", "input_pos", "page_number", "text", rule.alias("rule"))
 
 
-def accept_candidates(candidates: DataFrame, responses: DataFrame) -> DataFrame:
-    """Candidates worth asking about count only if the response is data_labels or other, or cannot be read."""
+def accept_candidates(candidates: DataFrame, responses: DataFrame, keep_images: bool = False) -> DataFrame:
+    """Candidates worth asking about count only if the response is data_labels or other, or cannot be read; blocks with an image are none."""
     r = responses.select("doc_id", "input_pos", "content_type")
+    candidates = candidates.filter(~F.col("rule").eqNullSafe("image") | F.lit(keep_images))
     j = candidates.join(r, ["doc_id", "input_pos"], "left")
     asked = X.worth_asking(F.col("text"))
     return j.withColumn("accepted", F.when(~asked, True).otherwise(F.coalesce(F.col("content_type").isin("data_labels", "other"), F.lit(True))))
 
 
 def detection_stats(candidates: DataFrame) -> DataFrame:
+    """How often each rule fired; initial and final count candidates, which blocks with an image are not."""
     n = lambda r: F.count_if(F.col("rule") == r)
-    return candidates.agg(n("large_empty").alias("large_empty"), n("large_text").alias("large_text"), n("visual_pattern").alias("visual_patterns"), n("image").alias("images"), n("drawing").alias("drawings"), F.count("rule").alias("initial"), F.count_if(F.col("rule").isNotNull() & F.col("accepted")).alias("final"))
+    return candidates.agg(n("large_empty").alias("large_empty"), n("large_text").alias("large_text"), n("visual_pattern").alias("visual_patterns"), n("image").alias("images"), n("drawing").alias("drawings"), F.count_if(F.col("rule") != "image").alias("initial"), F.count_if((F.col("rule") != "image") & F.col("accepted")).alias("final"))
 
 
 def route_failed_pictures(blocks: DataFrame) -> DataFrame:

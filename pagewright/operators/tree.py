@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as X
 
-# fixed values: the containers that show a part of a table, of a figure, of a list, or anything else
+# fixed values: the containers that show a part of a table, of a figure, of a list, or anything else, and tags that show themselves
 CONTAINERS = {
-    "table": (["thead", "tbody", "tfoot", "th", "tr", "td", "caption"], ["table"]),
-    "figure": (["img", "figcaption"], ["figure"]),
-    "list": (["li"], ["ul", "ol"]),
-    "default": ([], ["section", "main", "aside", "nav", "header", "footer"]),
+    "table": (["thead", "tbody", "tfoot", "th", "tr", "td", "caption"], ["table", "section", "main", "header", "footer"]),
+    "figure": (["img", "figcaption"], ["figure", "section", "main", "header", "footer"]),
+    "list": (["li"], ["ul", "ol", "section", "main", "header", "footer"]),
+    "default": ([], ["figure", "table", "section", "aside", "nav", "main", "header", "footer"]),
 }
-SELF = ["table", "figure", "ul", "ol", "section", "main"]
+SELF = ["section", "aside", "nav", "figure", "table", "ul", "ol"]
 
 
 def sequence_in_parent(nodes: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ CLEAN = "nullif(trim({0}, ' '), '')"
 
 
 @query("citation", CATALOGUE_SQL + f""", v AS (SELECT publication_id, arg_min(version, (CASE WHEN type = 'MAIN' THEN 0 ELSE 1 END) * 1000000000 + document_id) AS version FROM catalogue WHERE version IS NOT NULL GROUP BY ALL)
- SELECT publication_id, concat_ws(' ', {CLEAN.format('authors')}, '(' || year(publication_date) || ').', {CLEAN.format('title')} || '.', {CLEAN.format('source')} || '.', 'Version ' || version || '.', coalesce(source_url, uri)) AS citation FROM publications LEFT JOIN v USING (publication_id)""")
+ SELECT publication_id, concat_ws(' ', nullif(concat_ws(' ', {CLEAN.format('authors')}, '(' || year(publication_date) || ')'), '') || '.', {CLEAN.format('title')} || '.', {CLEAN.format('source')} || '.', 'Version ' || version || '.', coalesce(source_url, uri)) AS citation FROM publications LEFT JOIN v USING (publication_id)""")
 def _(spark, d):
     return C.citations(V.publications(spark, d), V.catalogue(spark, d))
 

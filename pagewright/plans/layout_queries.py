@@ -151,25 +151,25 @@ def _(spark, d):
     return L.visual_candidates(V.blocks(spark, d), V.rects(spark, d)).drop("text")
 
 
-@query("llm_filter_split", CANDIDATES + "," + RESPONSES + f" SELECT doc_id, input_pos, rule, CASE WHEN NOT {ASK} THEN true ELSE coalesce(content_type IN ('data_labels', 'other'), true) END AS accepted FROM candidates LEFT JOIN responses USING (doc_id, input_pos) WHERE rule IS NOT NULL")
+@query("llm_filter_split", CANDIDATES + "," + RESPONSES + f" SELECT doc_id, input_pos, rule, CASE WHEN NOT {ASK} THEN true ELSE coalesce(content_type IN ('data_labels', 'other'), true) END AS accepted FROM candidates LEFT JOIN responses USING (doc_id, input_pos) WHERE rule IS NOT NULL AND rule <> 'image'")
 def _(spark, d):
-    c = L.visual_candidates(V.blocks(spark, d), V.rects(spark, d)).filter("rule is not null")
+    c = L.visual_candidates(V.blocks(spark, d), V.rects(spark, d)).filter("rule <> 'image'")
     return L.accept_candidates(c, _responses(spark, d)).select("doc_id", "input_pos", "rule", "accepted")
 
 
 @query("detection_stats", CANDIDATES + "," + RESPONSES + f""" SELECT count(*) FILTER (WHERE rule = 'large_empty') AS large_empty, count(*) FILTER (WHERE rule = 'large_text') AS large_text, count(*) FILTER (WHERE rule = 'visual_pattern') AS visual_patterns,
- count(*) FILTER (WHERE rule = 'image') AS images, count(*) FILTER (WHERE rule = 'drawing') AS drawings, count(rule) AS initial, count(*) FILTER (WHERE rule IS NOT NULL AND (CASE WHEN NOT {ASK} THEN true ELSE coalesce(content_type IN ('data_labels', 'other'), true) END)) AS final FROM candidates LEFT JOIN responses USING (doc_id, input_pos)""")
+ count(*) FILTER (WHERE rule = 'image') AS images, count(*) FILTER (WHERE rule = 'drawing') AS drawings, count(*) FILTER (WHERE rule <> 'image') AS initial, count(*) FILTER (WHERE rule <> 'image' AND (CASE WHEN NOT {ASK} THEN true ELSE coalesce(content_type IN ('data_labels', 'other'), true) END)) AS final FROM candidates LEFT JOIN responses USING (doc_id, input_pos)""")
 def _(spark, d):
     c = L.visual_candidates(V.blocks(spark, d), V.rects(spark, d))
-    return L.detection_stats(L.accept_candidates(c, _responses(spark, d)))
+    return L.detection_stats(L.accept_candidates(c, _responses(spark, d), keep_images=True))
 
 
 @query("layout_profile", BLOCKS_SQL + "," + PATTERNS_SQL + f""" SELECT lang, count(*) AS n_blocks, count(*) FILTER (WHERE t = 'Page header') AS headers, count(*) FILTER (WHERE t = 'Page footer') AS footers, count(*) FILTER (WHERE t NOT IN ('Page header', 'Page footer') AND suggests_visual) AS visual,
  count(*) FILTER (WHERE t NOT IN ('Page header', 'Page footer') AND is_empty) AS empty FROM (SELECT *, {RETYPE} AS t FROM suggested) JOIN (SELECT doc_id, lang FROM documents) USING (doc_id) GROUP BY lang""")
 def _(spark, d):
-    b = L.retype_furniture(V.blocks(spark, d)).select("doc_id", "type", X.text_patterns(F.col("text")).alias("p")).join(V.table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    b = L.retype_furniture(V.blocks(spark, d)).select("doc_id", "type", X.suggests_visual(F.col("text")).alias("visual"), (X.strip(F.col("text")) == "").alias("is_empty")).join(V.table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
     body = ~F.col("type").isin(X.HEADER, X.FOOTER)
-    return b.groupBy("lang").agg(F.count("*").alias("n_blocks"), F.count_if(F.col("type") == X.HEADER).alias("headers"), F.count_if(F.col("type") == X.FOOTER).alias("footers"), F.count_if(body & F.col("p.suggests_visual")).alias("visual"), F.count_if(body & F.col("p.is_empty")).alias("empty"))
+    return b.groupBy("lang").agg(F.count("*").alias("n_blocks"), F.count_if(F.col("type") == X.HEADER).alias("headers"), F.count_if(F.col("type") == X.FOOTER).alias("footers"), F.count_if(body & F.col("visual")).alias("visual"), F.count_if(body & F.col("is_empty")).alias("empty"))
 
 
 @query("group_header_footer_text", BLOCKS_SQL + f" SELECT doc_id, page_number, list({strip_sql('text')} ORDER BY input_pos) AS texts FROM (SELECT *, {RETYPE} AS t FROM blocks) WHERE t IN ('Page header', 'Page footer') AND {strip_sql('text')} <> '' GROUP BY ALL")
@@ -217,13 +217,13 @@ def _(spark, d):
 
 
 @query("image_context_window", CONTENT_SQL + """ SELECT doc_id, block_id, coalesce(string_agg(t || chr(10), '' ORDER BY o), '') AS context FROM (
- SELECT a.doc_id, a.block_id, b.block_id AS o, b.text_content AS t FROM content_blocks a LEFT JOIN content_blocks b ON a.doc_id = b.doc_id AND a.page_number = b.page_number AND b.block_id BETWEEN a.block_id - 2 AND a.block_id + 2 AND (b.block_type IN ('Text', 'Picture') OR b.block_id = a.block_id) AND b.text_content <> '' WHERE a.block_type = 'Picture') GROUP BY ALL""")
+ SELECT a.doc_id, a.block_id, b.block_id AS o, b.text_content AS t FROM content_blocks a LEFT JOIN content_blocks b ON a.doc_id = b.doc_id AND a.page_number = b.page_number AND b.block_id BETWEEN a.block_id - 2 AND a.block_id + 2 AND (b.block_type IN ('Text', 'Title', 'Section header', 'Caption', 'List item', 'Formula', 'Table') OR b.block_id = a.block_id) AND b.text_content <> '' WHERE a.block_type = 'Picture') GROUP BY ALL""")
 def _(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("doc_id", "page_number").orderBy("block_id").rangeBetween(-2, 2)
     b = V.content_blocks(spark, d)
-    allowed = F.col("block_type").isin("Text", "Picture")
+    allowed = F.col("block_type").isin(*L.CONTEXT_TYPES)
     near = F.collect_list(F.struct("block_id", F.col("text_content").alias("t"), allowed.alias("ok"))).over(w)
     b = b.withColumn("near", near).filter("block_type = 'Picture'")
     text = F.filter("near", lambda x: (x["ok"] | (x["block_id"] == F.col("block_id"))) & (x["t"] != ""))

@@ -16,9 +16,9 @@ from pagewright.sources.views import BLOCKS_SQL, CONTENT_SQL, SPANS_SQL
 BREAK = r"'[ \t\n\r\f\v]+'"
 
 
-@query("normalize_text_for_matching", rf"SELECT item_id, regexp_replace(trim(regexp_replace(lower(text), {BREAK}, ' ', 'g'), ' '), '[.,;:!?]$', '') AS form FROM benchmark WHERE regexp_matches(text, '^[ -~\n]*$')")
+@query("normalize_text_for_matching", rf"SELECT item_id, regexp_replace(trim(regexp_replace(lower(text), {BREAK}, ' ', 'g'), ' '), '[.,;:!?]$', '') AS form FROM benchmark")
 def _(spark, d):
-    return V.table(spark, d, "benchmark").filter(F.col("text").rlike("^[ -~\\n]*$")).select("item_id", X.match_form(F.col("text")).alias("form"))
+    return V.table(spark, d, "benchmark").select("item_id", X.match_form(F.col("text")).alias("form"))
 
 
 @query("strip_control_chars", r"SELECT doc_id, length(regexp_replace(text || chr(7) || chr(127) || chr(9), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')) AS n FROM documents")
@@ -119,13 +119,11 @@ def _(spark, d):
     return spark.createDataFrame([(c,) for c in CASES], "x string").select("x", X.parse_ranges(F.col("x")).alias("r")).select("x", "r.error", "r.ids")
 
 
-IDS_SQL = "ids AS (SELECT DISTINCT conv_id AS k, doc_id % 23 AS id FROM conversations, documents WHERE (conv_id * 7 + doc_id) % 11 = 0 AND doc_id < 200 AND conv_id < 60)"
+IDS_SQL = "ids AS (SELECT DISTINCT conv_id AS k, length(text) % 50 AS id FROM conversations)"
 
 
 def _ids(spark, d):
-    c = V.table(spark, d, "conversations").filter("conv_id < 60").select(F.col("conv_id").alias("k")).distinct()
-    i = V.table(spark, d, "documents").filter("doc_id < 200").select("doc_id")
-    return c.join(F.broadcast(i), (F.col("k") * 7 + F.col("doc_id")) % 11 == 0).select("k", (F.col("doc_id") % 23).alias("id")).distinct()
+    return V.table(spark, d, "conversations").select(F.col("conv_id").alias("k"), (F.length("text") % 50).cast("long").alias("id")).distinct()
 
 
 @query("list_to_ranges", IDS_SQL + ", g AS (SELECT k, id, id - row_number() OVER (PARTITION BY k ORDER BY id) AS g FROM ids), r AS (SELECT k, g, min(id) AS a, max(id) AS b FROM g GROUP BY ALL) SELECT k, string_agg(CASE WHEN a = b THEN '' || a ELSE a || '-' || b END, ',' ORDER BY a) AS ranges FROM r GROUP BY k")
@@ -206,11 +204,11 @@ def _(spark, d):
     return s.select("doc_id", "page_number", F.transform("x", lambda e: e["span_pos"]).alias("spans"))
 
 
-@query("span_to_block_match", SPANS_SQL + " SELECT s.doc_id, span_pos, b.input_pos, contains(lower(b.text), lower(s.text)) AS found FROM spans s JOIN blocks b ON s.doc_id = b.doc_id AND s.page_number = b.page_number WHERE b.text <> '' AND regexp_matches(s.text || b.text, '^[ -~\\n]*$')")
+@query("span_to_block_match", SPANS_SQL + " SELECT s.doc_id, span_pos, b.input_pos, contains(lower(b.text), lower(s.text)) AS found FROM spans s JOIN blocks b ON s.doc_id = b.doc_id AND s.page_number = b.page_number WHERE b.text <> ''")
 def _(spark, d):
     s = V.spans(spark, d).select("doc_id", "page_number", "span_pos", F.col("text").alias("span"))
     b = V.blocks(spark, d).filter("text <> ''").select("doc_id", "page_number", "input_pos", "text")
-    j = s.join(b, ["doc_id", "page_number"]).filter(F.concat("span", "text").rlike("^[ -~\\n]*$"))
+    j = s.join(b, ["doc_id", "page_number"])
     return j.select("doc_id", "span_pos", "input_pos", F.lower("text").contains(F.lower("span")).alias("found"))
 
 
@@ -223,18 +221,17 @@ def _(spark, d):
 
 @query("style_text")
 def _(spark, d):
-    return S.style_blocks(V.content_blocks(spark, d), V.spans(spark, d)).select("doc_id", "block_id", "text_content", "changed")
+    return S.style_blocks(V.content_blocks(spark, d), V.spans(spark, d), V.PAGE_HEIGHT).select("doc_id", "block_id", "text_content", "changed")
 
 
 @query("rebuild_styled_block")
 def _(spark, d):
-    return S.style_blocks(V.content_blocks(spark, d), V.spans(spark, d)).select("doc_id", "block_id", "changed", "storage_url", "description", "caption")
+    return S.style_blocks(V.content_blocks(spark, d), V.spans(spark, d), V.PAGE_HEIGHT).select("doc_id", "block_id", "changed", "storage_url", "description", "caption")
 
 
 @query("styling_summary")
 def _(spark, d):
-    s = S.style_blocks(V.content_blocks(spark, d), V.spans(spark, d))
-    return s.agg(F.count("*").alias("total"), F.count_if("changed").alias("styled"), F.sum(F.regexp_count("text_content", F.lit("<[bi]>"))).alias("spans_applied"))
+    return S.styling_summary(V.content_blocks(spark, d), V.spans(spark, d), V.PAGE_HEIGHT)
 
 
 # text edits: every line of a document is a row; ranges to delete are made up from the id
@@ -294,7 +291,7 @@ def _(spark, d):
     return r.select("doc_id", E.valid_insert(F.col("before"), F.col("after")).alias("valid"))
 
 
-@query("schema_sync_diff", "a AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE doc_id % 2 = 0), b AS (SELECT doc_id, unnest(string_split(replace(text, 'the', 'THE'), chr(10))) AS line FROM documents WHERE doc_id % 2 = 0), x AS (SELECT doc_id, line, count(*) AS n FROM a GROUP BY ALL), y AS (SELECT doc_id, line, count(*) AS m FROM b GROUP BY ALL) SELECT doc_id, CAST(sum(greatest(coalesce(n, 0) - coalesce(m, 0), 0)) AS BIGINT) AS removed, CAST(sum(greatest(coalesce(m, 0) - coalesce(n, 0), 0)) AS BIGINT) AS added FROM x FULL JOIN y USING (doc_id, line) GROUP BY doc_id")
+@query("schema_sync_diff", "a AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), b AS (SELECT doc_id, unnest(string_split(replace(text, 'the', 'THE'), chr(10))) AS line FROM documents), x AS (SELECT doc_id, line, count(*) AS n FROM a GROUP BY ALL), y AS (SELECT doc_id, line, count(*) AS m FROM b GROUP BY ALL) SELECT doc_id, CAST(sum(greatest(coalesce(n, 0) - coalesce(m, 0), 0)) AS BIGINT) AS removed, CAST(sum(greatest(coalesce(m, 0) - coalesce(n, 0), 0)) AS BIGINT) AS added FROM x FULL JOIN y USING (doc_id, line) GROUP BY doc_id")
 def _(spark, d):
-    docs = V.table(spark, d, "documents").filter("doc_id % 2 = 0")
+    docs = V.table(spark, d, "documents")
     return E.line_diff(docs.select("doc_id", "text"), docs.select("doc_id", F.replace("text", F.lit("the"), F.lit("THE")).alias("text")))

@@ -49,7 +49,8 @@ def _(spark, d):
 
 
 @query("render_context", NODES_SQL + "," + UP + """ SELECT n.node_id, coalesce(c.container_id, n.node_id) AS target_id FROM nodes n LEFT JOIN (SELECT node_id, arg_min(ancestor_id, distance) AS container_id FROM ups
- WHERE tag NOT IN ('table', 'figure', 'ul', 'ol', 'section', 'main') AND CASE WHEN tag IN ('thead', 'tbody', 'tfoot', 'th', 'tr', 'td', 'caption') THEN ancestor_tag = 'table' WHEN tag IN ('img', 'figcaption') THEN ancestor_tag = 'figure' WHEN tag = 'li' THEN ancestor_tag IN ('ul', 'ol') ELSE ancestor_tag IN ('section', 'main', 'aside', 'nav', 'header', 'footer') END GROUP BY ALL) c ON n.node_id = c.node_id""")
+ WHERE tag NOT IN ('section', 'aside', 'nav', 'figure', 'table', 'ul', 'ol') AND CASE WHEN tag IN ('thead', 'tbody', 'tfoot', 'th', 'tr', 'td', 'caption') THEN ancestor_tag IN ('table', 'section', 'main', 'header', 'footer') WHEN tag IN ('img', 'figcaption') THEN ancestor_tag IN ('figure', 'section', 'main', 'header', 'footer')
+ WHEN tag = 'li' THEN ancestor_tag IN ('ul', 'ol', 'section', 'main', 'header', 'footer') ELSE ancestor_tag IN ('figure', 'table', 'section', 'aside', 'nav', 'main', 'header', 'footer') END GROUP BY ALL) c ON n.node_id = c.node_id""")
 def _(spark, d):
     return T.context_node(V.nodes(spark, d))
 

@@ -1,12 +1,13 @@
 """Edge cases of the operators, with rows written by hand."""
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as X
-from pagewright.operators import edits, html, layout, pages, provider, style, tree
+from pagewright.operators import catalog, edits, html, layout, pages, provider, style, tree
 from pagewright.sources import readers, sinks
 from pagewright.streaming import jobs
 
@@ -136,7 +137,7 @@ def test_edits(spark):
 def test_tree_and_provider(spark):
     n = spark.createDataFrame([(1, 1, None, 0, "section", None, None, [1]), (1, 2, 1, 0, "ul", None, None, [1, 2]), (1, 3, 2, 0, "li", "x & y", None, [1, 2, 3]), (1, 4, 1, 1, "img", None, "d\"q", [1, 4])], "doc_id long, node_id long, parent_id long, seq int, tag string, text_content string, description string, path array<long>")
     assert tree.render_documents(n).first().html == '<section>\n<ul>\n<li>x &amp; y</li>\n</ul>\n<img src="" alt="d&quot;q" />\n</section>'
-    assert {r.node_id: r.target_id for r in tree.context_node(n).collect()} == {1: 1, 2: 2, 3: 2, 4: 4}
+    assert {r.node_id: r.target_id for r in tree.context_node(n).collect()} == {1: 1, 2: 2, 3: 2, 4: 1}
     req = spark.createDataFrame([("a",), ("b",)], "request_key string")
     res = spark.createDataFrame([("t", "a", 1, "nonsense"), ("t", "a", 2, '```json\n{"v": 2}\n```'), ("t", "a", 4, '{"v": 4}'), ("u", "b", 1, '{"v": 9}')], "task string, request_key string, attempt int, response string")
     assert {r.request_key: r.parsed and r.parsed.v for r in provider.replay(req, res, "t", "v int").collect()} == {"a": 2, "b": None}
@@ -168,3 +169,44 @@ def test_streams(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 3]
     e = spark.createDataFrame([(1, "running", "2024-01-01 00:00:00"), (1, "completed", "2024-01-01 00:05:00"), (2, "running", "2024-01-01 00:00:00")], "job_id long, status string, t string").select("job_id", "status", F.to_timestamp("t").alias("ts"))
     assert {r.job_id: (r.status, r.terminal) for r in jobs.latest_status(e).collect()} == {1: ("completed", True), 2: ("running", False)}
+
+
+def test_context_containers(spark):
+    """Cases worked out by hand: table and figure parts fall back to a section, an aside shows itself, main does not."""
+    rows = [
+        (1, 1, None, 0, "main", None, None, [1]), (1, 2, 1, 0, "p", "a", None, [1, 2]), (1, 3, 1, 1, "section", None, None, [1, 3]), (1, 4, 3, 0, "td", "b", None, [1, 3, 4]),
+        (1, 5, 3, 1, "aside", None, None, [1, 3, 5]), (1, 6, 5, 0, "p", "c", None, [1, 3, 5, 6]), (1, 7, 3, 2, "figure", None, None, [1, 3, 7]), (1, 8, 7, 0, "p", "d", None, [1, 3, 7, 8]), (1, 9, 5, 1, "figcaption", "e", None, [1, 3, 5, 9]),
+    ]
+    n = spark.createDataFrame(rows, "doc_id long, node_id long, parent_id long, seq int, tag string, text_content string, description string, path array<long>")
+    assert {r.node_id: r.target_id for r in tree.context_node(n).collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7, 8: 7, 9: 3}
+
+
+def test_span_match_by_whole_words(spark):
+    cases = [("art", "a party", ("contains", 1)), ("the art show", "party at the show", None), ("the show", "the big show", ("words", 1)), ("show the", "the big show", None), ("a b", "a x b", ("words", 1)), ("one two three four", "one two nine three", ("most", 1)), ("b.c d", "b.c and d", ("words", 1))]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(cases)], "k int, span string, text string")
+    got = {r.k: r.m and tuple(r.m) for r in df.select("k", style.best_match(F.col("text"), F.col("span")).alias("m")).collect()}
+    assert got == {k: w for k, (*_, w) in enumerate(cases)}
+
+
+def test_images_are_no_candidates(spark):
+    c = spark.createDataFrame([(1, 0, 1, "x " * 80, "image"), (1, 1, 1, "y " * 80, "drawing"), (1, 2, 1, "z", "visual_pattern"), (1, 3, 1, "w", None)], "doc_id long, input_pos int, page_number int, text string, rule string")
+    r = spark.createDataFrame([(1, 0, "paragraph"), (1, 1, "paragraph")], "doc_id long, input_pos int, content_type string")
+    assert {x.input_pos: x.accepted for x in layout.accept_candidates(c.filter("rule is not null"), r).collect()} == {1: False, 2: True}
+    s = layout.detection_stats(layout.accept_candidates(c, r, keep_images=True)).first()
+    assert (s.images, s.drawings, s.visual_patterns, s.initial, s.final) == (1, 1, 1, 2, 1)
+
+
+def test_styling_leaves_furniture_out(spark):
+    b = spark.createDataFrame(
+        [(1, 0, 1, 50.0, 60.0, "Text", "bold words", "s"), (1, 1, 1, 100.0, 120.0, "Page header", "bold words", None), (1, 2, 1, 100.0, 120.0, "Text", "some bold words here", "s"), (1, 3, 1, 730.0, 740.0, "Text", "foot", None)],
+        "doc_id long, block_id int, page_number int, y1 double, y2 double, block_type string, text_content string, storage_url string",
+    ).withColumn("description", F.lit(None).cast("string")).withColumn("caption", F.lit(None).cast("string"))
+    s = spark.createDataFrame([(1, 1, 0, " bold words ", 16)], "doc_id long, page_number int, span_pos int, text string, flags int")
+    assert [tuple(r) for r in style.style_blocks(b, s, 792.0).select("block_id", "text_content", "storage_url").collect()] == [(2, "some <b>bold words</b> here", None)]
+    assert style.styling_summary(b, s, 792.0).first().asDict() == {"total": 1, "styled": 1, "spans_applied": 1, "excluded": 3}
+
+
+def test_citation_without_a_year(spark):
+    p = spark.createDataFrame([(1, " A. Author ", None, "Title", None, None, "uri"), (2, None, datetime.date(2001, 2, 3), " ", "Src", "url", "uri"), (3, None, None, "T", None, None, None)], "publication_id long, authors string, publication_date date, title string, source string, source_url string, uri string")
+    d = spark.createDataFrame([], "publication_id long, document_id long, type string, version string")
+    assert {r.publication_id: r.citation for r in catalog.citations(p, d).collect()} == {1: "A. Author. Title. uri", 2: "(2001). Src. url", 3: "T."}
