@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -19,19 +21,45 @@ FILTER = 1 << 18
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    It comes from spark.checkpoint.dir; only where that is unset (tests on one machine) a
-    temporary folder takes its place and is recorded in the session.
+    It comes from spark.checkpoint.dir. Where that is unset a session on one machine gets a temporary
+    folder, recorded in the session; on a cluster it is an error, as no folder is known to be shared.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="pagewright-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_homes: dict[str, SparkSession] = {}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _delete_all() -> None:
+    """What is still there of this driver's tables when it ends; its JVM may have ended before."""
+    for home, spark in _homes.items():
+        with contextlib.suppress(Exception):
+            delete(spark, home)
+
+
+def home(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/pagewright-{spark.sparkContext.applicationId}"
+    _homes[path] = spark
+    return path
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: a lost executor costs no recomputation of its lineage."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{home(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
@@ -41,10 +69,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def drop_cut(*frames: DataFrame) -> None:
     """Deletes tables made by cut() that nothing reads any more."""
     for df in frames:
-        spark, path = df.sparkSession, getattr(df, "cut_path", None)
-        if path:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if path := getattr(df, "cut_path", None):
+            delete(df.sparkSession, path)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -71,7 +97,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(right, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _by_bit(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def by_bit(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs with __maybe: whether the hash bit of doc_id is set in a table of the bits of ids.
 
     The table has FILTER rows at most at any number of ids, so it can be broadcast; the more ids, the
@@ -81,17 +107,17 @@ def _by_bit(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bit = lambda c: F.expr(f"shiftleft(1L, cast(xxhash64({c}) & 63 as int))")
     table = ids.select(word("doc_id").alias("__w"), bit("doc_id").alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
     j = docs.withColumn("__w", word("doc_id")).join(F.broadcast(table), "__w", "left")
-    return j.select(*docs.columns, (F.coalesce("__bits", F.lit(0)).bitwiseAND(bit("doc_id")) != 0).alias("__maybe"))
+    return j.select(*docs.columns, F.coalesce(F.col("__bits").bitwiseAND(bit("doc_id")) != 0, F.lit(False)).alias("__maybe"))
 
 
 def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs without most of the rows whose doc_id is not in ids."""
-    return _by_bit(docs, ids).filter("__maybe").drop("__maybe")
+    return by_bit(docs, ids).filter("__maybe").drop("__maybe")
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in ids; of the others, few texts are shuffled."""
-    rows = _by_bit(docs, ids)
+    rows = by_bit(docs, ids)
     rest = rows.filter("__maybe").join(ids, "doc_id", "left_anti")
     return rows.filter("not __maybe").select(docs.columns).union(rest.select(docs.columns))
 

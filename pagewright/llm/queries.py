@@ -12,6 +12,8 @@ from pagewright.llm import chat, decontam, linededup, lmscore, mixing, neardup,
 
 #: The subword vocabulary of language-model scoring; a path that the driver and its processes can read.
 VOCABULARY = os.environ.get("PAGEWRIGHT_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
+#: Words that repeated sentences inside a line amount to at least; repeated lines go whatever their length.
+PASSAGE = 8
 ODD = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -38,7 +40,7 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.remove_repeats(read(spark, folder, "documents"), whole_lines=True).drop("clean_text")
+    return linededup.remove_repeats(read(spark, folder, "documents"), PASSAGE).drop("clean_text")
 
 
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +77,7 @@ _TURN = "ORDER BY turn NULLS FIRST, role, text"
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
- s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM (SELECT DISTINCT * FROM v) q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
  SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op3_chat_formatting": f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '{ODD}' UNION ALL SELECT -1, 1, 'assistant', '{ODD}')
  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {_TURN})) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
