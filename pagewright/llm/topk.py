@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import cut
+from pagewright.llm.common import cut, drop_cut
 
 PIVOTS, BLOCK, CHUNK, STEPS = 64, 1024, 1024, 128
-#: Distances are doubles; a bound is widened by this much of itself.
-SLACK = 1e-9
+#: Products are whole numbers in doubles, exact below this.
+EXACT = 1 << 53
 
 
 def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
@@ -39,6 +39,11 @@ def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def slack(squared: np.ndarray, longest: float, dim: int) -> np.ndarray:
+    """How far a computed distance may be off: the root of the rounding error of the squares it is the difference of."""
+    return np.sqrt(16 * (dim + 4) * np.finfo(float).eps * (squared + longest))
+
+
 def _spread(ids: np.ndarray) -> np.ndarray:
     x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (x ^ (x >> np.uint64(29))) >> np.uint64(8)
@@ -81,14 +86,18 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 
     Ties go to the smaller vec_id. A query's own vec_id is no candidate. Null vectors, vectors with
     null or non-finite components and rows with a null vec_id take no part. A shorter vector counts as
-    filled up with zeros. Rows that repeat a vec_id are candidates each; as queries they give the
-    result once. An empty table, or one without queries, gives an empty result.
+    filled up with zeros. Rows that repeat a vec_id are candidates each, and so may come several times
+    in one result; as queries equal ones give it once, and different vectors of one vec_id the k best
+    of all their products. Squared lengths from 2^53 on, where doubles are not exact, are an error. An
+    empty table, or one without queries, gives an empty result.
     """
-    rows = cut(quantize(embeddings).distinct(), "topk-vectors")
+    rows = cut(quantize(embeddings), "topk-vectors")
     known = rows.agg(F.max(F.size("v")).alias("dim"), F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, e: a + e * e)).alias("longest"), F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).first()
     schema = "query_id long, rank int, vec_id long, score long"
     if not known["n"] or not known["queries"]:
         return embeddings.sparkSession.createDataFrame([], schema)
+    if known["longest"] >= EXACT:
+        raise ValueError(f"a squared length of {known['longest']} is beyond exact doubles")
     dim = max(1, known["dim"])
     far = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
     pivots = np.zeros((len(far), dim))
@@ -140,7 +149,7 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         return pd.DataFrame(out, columns=["query_id", "q", "least"])
 
     with_query = placed.filter(F.col("vec_id") % every == 0).select("block").distinct()
-    begun = placed.join(with_query, "block", "left_semi").groupBy("block").applyInPandas(start, "query_id long, q array<long>, least double")
+    begun = placed.join(with_query, "block", "left_semi").groupBy("block").applyInPandas(start, "query_id long, q array<long>, least double").dropDuplicates(["query_id", "q"])
     chunks = max(1, math.ceil(known["queries"] / CHUNK))
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +157,15 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
             q, least = _matrix(b.column("q"), dim), b.column("least").to_numpy()
             d = index.distances(q, query=True)
             r = np.sqrt(np.maximum(0, (q**2).sum(1) + index.longest - 2 * np.maximum(least, -1e300)))
-            r = np.where(np.isneginf(least), np.inf, r * (1 + SLACK) + SLACK)
+            # the radius, the query's distance and the ring's borders may each be off
+            r = np.where(np.isneginf(least), np.inf, r + 3 * slack((q**2).sum(1), index.longest, dim))
             n, c = d.shape
             take = np.repeat(np.arange(n), c)
             arrays = [b.column("query_id").take(pa.array(take)), b.column("q").take(pa.array(take)), pa.array(least[take]), pa.array(np.tile(np.arange(c, dtype=np.int32), n)), pa.array((d - r[:, None]).ravel()), pa.array((d + r[:, None]).ravel())]
             yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "q", "least", "cell", "from", "to"])
 
     wide = cut(begun, "topk-begun").mapInArrow(reach, "query_id long, q array<long>, least double, cell int, `from` double, `to` double")
-    wanted = wide.join(rings, "cell").filter((F.col("lo") <= F.col("to") * (1 + SLACK) + SLACK) & (F.col("hi") >= F.col("from") * (1 - SLACK) - SLACK))
+    wanted = wide.join(rings, "cell").filter((F.col("lo") <= F.col("to")) & (F.col("hi") >= F.col("from")))
     wanted = cut(wanted.select("block", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), "query_id", "q", "least"), "topk-wanted")
     sides = placed.join(wanted.select("block", "chunk").distinct(), "block").select(F.col("block").alias("in_block"), F.col("chunk").alias("for_chunk"), "vec_id", "v")
 
@@ -169,4 +179,5 @@ def search(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 
     found = wanted.groupBy("block", "chunk").cogroup(sides.groupBy("in_block", "for_chunk")).applyInPandas(compare, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    drop_cut(rows, keyed)
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
