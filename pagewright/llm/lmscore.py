@@ -1,12 +1,20 @@
 """Language-model scores by a subword lattice.
 
-The model is a unigram model over the pieces of an existing vocabulary. Its scores start from the
-vocabulary's own and are fitted to the word counts of all training documents (expectation
+The model is a unigram model over the pieces of an existing vocabulary. Its weights start from the
+vocabulary's own scores and are fitted to the word counts of all training documents (expectation
 maximisation over the lattice). A word's probability is the sum over all ways to write it in
-pieces, by the forward recursion in log space; a text's is the product over its words and its end.
-A word that training documents have c times also has one edge of its own, of probability
-(c - DISCOUNT) / N; the mass taken off is what the piece paths share.
-The lattice runs once for every distinct word of the corpus, not for every token.
+pieces, by the forward recursion in log space; a text's is the product over its words and its end:
+this marginal is `score`. The lattice runs once for every distinct word of the corpus, not for
+every token.
+
+`mixed_score`, a further column, is that of a model in which a word that training documents have c
+times also has an edge of its own, of probability (c - DISCOUNT) / N, and the piece paths share the
+mass taken off.
+
+The vocabulary at hand is a BPE model: its scores are the ranks of its merges, not log
+probabilities. Rank r is taken as the weight 1 / (r + 100), after Zipf; a file whose scores are log
+probabilities (a unigram model) keeps them. Texts have A-Z lowered, so pieces are lowered alike and
+those that become equal add their weights.
 
 The HEAD most frequent words are looked up where the text is read (a table of bounded size); all
 others are counted by document, sent to the word's own partition and joined there.
@@ -22,29 +30,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import cut, drop_cut
+from pagewright.llm.common import LOWER, UPPER, cut, drop_cut
 
 HEAD, ROUNDS, PRIOR, DISCOUNT = 20_000, 2, 1000.0, 0.75
-LONGEST = 16
 SPACE = 0x2581
 _P = np.uint64(0x9E3779B97F4A7C15)
+_LOW = str.maketrans(UPPER, LOWER)
 
 
 def load_pieces(path: str) -> tuple[list[str], np.ndarray]:
-    """Pieces of a vocabulary file and the log probabilities its scores stand for.
+    """Pieces of a vocabulary file, A-Z lowered, and the log probabilities its scores stand for.
 
-    Scores of the file are the ranks of the pieces (0, -1, -2 ...); rank r weighs 1 / (r + 100).
+    Bytes, control and unknown pieces stand for no text of their own; all others count.
     """
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    found = {}
-    for i in range(sp.get_piece_size()):
-        piece = sp.id_to_piece(i)
-        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and len(piece) <= LONGEST and chr(SPACE) not in piece[1:]:
-            found.setdefault(piece.lower(), -sp.get_score(i))
+    plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+    ranks = all(sp.get_score(i) == round(sp.get_score(i)) for i in plain)
+    found: dict[str, float] = {}
+    for i in plain:
+        piece = sp.id_to_piece(i).translate(_LOW)
+        found[piece] = found.get(piece, 0.0) + (1 / (100 - sp.get_score(i)) if ranks else math.exp(sp.get_score(i)))
     pieces = sorted(found)
-    w = np.array([1 / (found[p] + 100) for p in pieces])
+    w = np.array([found[p] for p in pieces])
     return pieces, np.log(w / w.sum())
 
 
@@ -163,7 +172,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int = 2) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and mixed_score of every row of docs.
 
     held_out: crc32(doc_id as text) mod `fold` is `held`; the rest is learnt from. A null or empty text
     is its end token alone. A null doc_id is held_out null, not learnt from, and scored. Repeated rows
@@ -185,9 +194,10 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
     logp = start
     share = np.exp(start)
     for _ in range(ROUNDS if sums["words"] else 0):
-        lattice = Lattice(pieces, logp)
+        sent = spark.sparkContext.broadcast(Lattice(pieces, logp))  # of the vocabulary's size
 
-        def expect(batches: Iterator[pa.RecordBatch], lattice=lattice) -> Iterator[pa.RecordBatch]:
+        def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            lattice = sent.value
             total = np.zeros(len(lattice.logp))
             for b in batches:
                 lattice.run(b.column("word").to_pylist(), b.column("c").to_numpy().astype(float), total)
@@ -199,7 +209,7 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
         for r in got:
             e[r["piece"]] = r["e"]
         logp = np.log((e + PRIOR * share) / (e.sum() + PRIOR))
-    lattice = Lattice(pieces, logp)
+    sent = spark.sparkContext.broadcast(Lattice(pieces, logp))
     n = max(1, sums["words"])
     shared_mass = DISCOUNT * sums["kinds"] / n if sums["words"] else 1.0
     stop = (ends + 1) / (tokens + 2)
@@ -207,27 +217,28 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            paths = lattice.run(b.column("word").to_pylist()) + math.log(shared_mass)
+            paths = sent.value.run(b.column("word").to_pylist())
             own = np.log(np.maximum(b.column("c").to_numpy() - DISCOUNT, 1e-300) / n)
-            lp = np.logaddexp(paths, own) / math.log(10) + go
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), b.column("n"), pa.array(np.log10(b.column("c").to_numpy() + 1.0)), pa.array(lp)], names=["word", "c", "n", "base", "lp"])
+            mixed = np.logaddexp(paths + math.log(shared_mass), own) / math.log(10) + go
+            cols = [b.column("word"), b.column("c"), b.column("n"), pa.array(np.log10(b.column("c").to_numpy() + 1.0)), pa.array(paths / math.log(10) + go), pa.array(mixed)]
+            yield pa.RecordBatch.from_arrays(cols, names=["word", "c", "n", "base", "lp", "mixed"])
 
-    known = cut(types.mapInArrow(weigh, "word string, c long, n long, base double, lp double"), "lm-words")
+    known = cut(types.mapInArrow(weigh, "word string, c long, n long, base double, lp double, mixed double"), "lm-words")
     drop_cut(types)
-    head = {r["word"].encode("utf-8", "surrogatepass"): (float(r["c"] > 0), r["base"], r["lp"]) for r in known.orderBy(F.desc("n"), "word").limit(HEAD).collect()}
+    head = {r["word"].encode("utf-8", "surrogatepass"): (float(r["c"] > 0), r["base"], r["lp"], r["mixed"]) for r in known.orderBy(F.desc("n"), "word").limit(HEAD).collect()}
     shared = spark.sparkContext.broadcast(head)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = shared.value
-        names = ["row", "word", "k", "doc_id", "held_out", "n_tokens", "known", "base", "lp"]
+        names = ["row", "word", "k", "doc_id", "held_out", "n_tokens", "known", "base", "lp", "mixed"]
 
         def table(rows_, words_, ks, own):
             n = len(own)
             m = len(rows_)
             pad = lambda x, kind: pa.concat_arrays([pa.nulls(m, kind), pa.array(x, kind)])
-            cols = list(zip(*own, strict=True)) if n else [()] * 7
+            cols = list(zip(*own, strict=True)) if n else [()] * 8
             return pa.RecordBatch.from_arrays(
-                [pa.array([*rows_, *cols[0]], pa.int64()), pa.concat_arrays([_strings(words_), pa.nulls(n, pa.string())]), pa.array([*ks, *[0] * n], pa.int64()), pad(cols[1], pa.int64()), pad(cols[2], pa.bool_()), pad(cols[3], pa.int64()), pad(cols[4], pa.float64()), pad(cols[5], pa.float64()), pad(cols[6], pa.float64())],
+                [pa.array([*rows_, *cols[0]], pa.int64()), pa.concat_arrays([_strings(words_), pa.nulls(n, pa.string())]), pa.array([*ks, *[0] * n], pa.int64()), pad(cols[1], pa.int64()), pad(cols[2], pa.bool_()), pad(cols[3], pa.int64()), pad(cols[4], pa.float64()), pad(cols[5], pa.float64()), pad(cols[6], pa.float64()), pad(cols[7], pa.float64())],
                 names=names,
             )
 
@@ -236,7 +247,7 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
             for row, doc, out, t in zip(b.column("row").to_pylist(), b.column("doc_id").to_pylist(), b.column("held_out").to_pylist(), b.column("text"), strict=True):
                 found = split(t.as_py())
                 rare: dict[bytes, int] = {}
-                sure = base = lp = 0.0
+                sure = base = lp = mixed = 0.0
                 for x in found:
                     h = head.get(x)
                     if h is None:
@@ -245,7 +256,8 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
                         sure += h[0]
                         base += h[1]
                         lp += h[2]
-                own.append((row, doc, out, len(found) + 1, sure, base, lp))
+                        mixed += h[3]
+                own.append((row, doc, out, len(found) + 1, sure, base, lp, mixed))
                 r += [row] * len(rare)
                 w += rare
                 k += rare.values()
@@ -255,18 +267,18 @@ def score_documents(docs: DataFrame, vocabulary: str, fold: int = 7, held: int =
         if own:
             yield table(r, w, k, own)
 
-    parts = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(spell, "row long, word string, k long, doc_id long, held_out boolean, n_tokens long, known double, base double, lp double")
+    parts = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(spell, "row long, word string, k long, doc_id long, held_out boolean, n_tokens long, known double, base double, lp double, mixed double")
     # words of the texts' own rows are null: they stay apart from the join's keys
-    table = known.select("word", (F.col("c") > 0).cast("double").alias("w_known"), F.col("base").alias("w_base"), F.col("lp").alias("w_lp"))
+    table = known.select("word", (F.col("c") > 0).cast("double").alias("w_known"), F.col("base").alias("w_base"), F.col("lp").alias("w_lp"), F.col("mixed").alias("w_mixed"))
     key = F.coalesce("word", F.concat(F.lit(" "), F.col("row").cast("string")))
     joined = parts.withColumn("word", key).join(table, "word", "left")
     whole = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("known", F.col("k") * F.col("w_known"))).alias("known"), F.sum(F.coalesce("base", F.col("k") * F.col("w_base"))).alias("base"), F.sum(F.coalesce("lp", F.col("k") * F.col("w_lp"))).alias("lp"),
+        F.sum(F.coalesce("known", F.col("k") * F.col("w_known"))).alias("known"), F.sum(F.coalesce("base", F.col("k") * F.col("w_base"))).alias("base"), F.sum(F.coalesce("lp", F.col("k") * F.col("w_lp"))).alias("lp"), F.sum(F.coalesce("mixed", F.col("k") * F.col("w_mixed"))).alias("mixed"),
     )
     floor = math.log10(tokens + kinds + 1)
     end_base, end_lp = math.log10(ends + 1), math.log10(stop)
     return whole.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + (1 if ends else 0)).cast("long").alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        F.round(F.col("base") + end_base - F.col("n_tokens") * floor, 9).alias("base_score"), F.round(F.col("lp") + end_lp, 9).alias("score"),
+        F.round(F.col("base") + end_base - F.col("n_tokens") * floor, 9).alias("base_score"), F.round(F.col("lp") + end_lp, 9).alias("score"), F.round(F.col("mixed") + end_lp, 9).alias("mixed_score"),
     )
