@@ -66,10 +66,10 @@ def multipliers(hist: DataFrame, goals: DataFrame, most: int = MOST, steps: int
         hi = F.when(under, F.col("hi")).otherwise(F.col("lam"))
         newton = F.col("lam") + F.try_divide(F.col("target") - F.col("got"), F.col("slope"))
         middle = (lo + hi) / 2
-        lam = sums.select("source", F.when((newton > lo) & (newton < hi), newton).otherwise(middle).alias("lam"), lo.alias("lo"), hi.alias("hi"))
+        lam = sums.select("source", F.when((newton >= lo) & (newton <= hi), newton).otherwise(middle).alias("lam"), lo.alias("lo"), hi.alias("hi"))
         if step % 6 == 5:
             lam = cut(lam, "mixing-step")
-    out = join_on(rows, lam, ["source"]).select("source", "size", "n", "source_size", "target", _rate(F.col("lam"), F.col("size"), F.col("mean"), most).alias("rate"))
+    out = join_on(rows, lam, ["source"]).select("source", "size", "n", "source_size", "target", F.round(_rate(F.col("lam"), F.col("size"), F.col("mean"), most), 12).alias("rate"))
     out = out.withColumn("rate", F.when(F.col("target") >= most * F.col("source_size"), F.lit(float(most))).otherwise(F.col("rate")))
     return out
 
@@ -122,8 +122,23 @@ def mix(docs: DataFrame, most: int = MOST, buckets: int = 64) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies", "rate")
 
 
-def apply_mix(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """docs with every row repeated (or left out) as mix() says; rows of one doc_id get the same number of copies."""
-    times = mix(docs, most).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies"))
-    out = join_on(docs, times, ["doc_id"])
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(docs.columns)
+def apply_mix(docs: DataFrame, most: int = MOST, buckets: int = 64) -> DataFrame:
+    """docs with every row repeated (or left out) as mix() says; all columns stay.
+
+    Rows that agree in doc_id, source and size (null equal to null) share their copies: each gets the
+    same number, and those of the smallest text hashes one more where it does not divide. Texts without
+    words are kept once. An empty table gives an empty result.
+    """
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    keys = ["__id", "source", "__size"]
+    times = mix(docs, most, buckets).groupBy(F.col("doc_id").alias("__id"), "source", F.col("size").alias("__size")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    times = cut(times, "mixing-times")
+    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__size": size, "__n": F.monotonically_increasing_id()})
+    rows = join_on(rows, times, keys)
+    one = rows.filter("__rows = 1").select(*docs.columns, F.col("__copies").cast("int").alias("__copies"))
+    if not times.filter("__rows > 1").isEmpty():
+        h = F.xxhash64("text")
+        shared = gapless_rank(rows.filter("__rows > 1").withColumn("__h", h), keys, ["__h"], F.xxhash64("__n"), buckets, "__place")
+        own = F.floor(F.col("__copies") / F.col("__rows")) + (F.col("__place") < F.col("__copies") % F.col("__rows")).cast("int")
+        one = one.union(shared.select(*docs.columns, own.cast("int")))
+    return one.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(docs.columns)
