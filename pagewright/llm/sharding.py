@@ -79,5 +79,5 @@ def shard_documents(docs: DataFrame, shards: int = 24, buckets: int = 256) -> Da
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     rows = with_shard(with_shard(rows, "doc_id", shards, "shard"), "doc_id", shards + 1, "grown_shard")
-    ranked = gapless_rank(rows, ["shard"], ["doc_id", "size", "text_crc32"], F.xxhash64("doc_id"), buckets, "slot")
+    ranked = gapless_rank(rows, ["shard"], ["doc_id", "size", "text_crc32"], F.xxhash64("doc_id", "size", "text_crc32"), buckets, "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

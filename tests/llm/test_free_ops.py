@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -129,6 +130,15 @@ def test_top_k(spark, monkeypatch, block):
     assert got == brute_top(rows)
 
 
+def test_top_k_repeats(spark):
+    """Equal rows are candidates each; equal query rows answer once."""
+    df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [0.5])], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.search(df).collect())
+    assert got == [(0, 1, 1, 131072), (0, 2, 1, 131072), (0, 3, 2, 32768)]
+    with pytest.raises(ValueError):
+        topk.search(spark.createDataFrame([(0, [1e6]), (1, [1.0])], "vec_id long, embedding array<float>"))
+
+
 def test_top_k_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.search(df).collect()] == [(0, 1, 1, 256 * 512)]
@@ -155,6 +165,38 @@ def test_lattice_against_all_segmentations():
     assert abs(sum(s * len(p) for s, p in zip(sums, pieces, strict=True)) - 6) < 1e-9
 
 
+def test_scores_are_the_marginals_of_the_lattice(spark, monkeypatch):
+    """Whole documents against the sum over all segmentations, with the weights the training words give."""
+    pieces, lp = ["▁", "▁a", "a", "b", "ab", "ba", "▁ab"], np.log(np.array([0.1, 0.2, 0.1, 0.2, 0.2, 0.1, 0.1]))
+    monkeypatch.setattr(lmscore, "load_pieces", lambda path: (pieces, lp))
+    rows = [(k, t) for k, t in enumerate(["ab ba", "abab", "b", "", None, "a ab aab", "bb ab x"] * 3)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = Counter(w for i, t in rows if not held(i) for w in (t or "").split())
+    p = np.exp(lp)
+    unknown = math.exp(lmscore.Lattice.UNKNOWN)
+
+    def ways(s):
+        if not s:
+            return [((), 1.0)]
+        out = [((k, *r), p[k] * q) for k, x in enumerate(pieces) if s.startswith(x) for r, q in ways(s[len(x) :])]
+        return out + ([(r, unknown * q) for r, q in ways(s[1:])] if s[0] not in pieces else [])
+
+    for _ in range(lmscore.ROUNDS):
+        e = np.zeros(len(pieces))
+        for w, c in train.items():
+            found = ways("▁" + w)
+            total = sum(q for _, q in found)
+            for r, q in found:
+                for k in r:
+                    e[k] += c * q / total
+        p = (e + lmscore.PRIOR * np.exp(lp)) / (e.sum() + lmscore.PRIOR)
+    ends = sum(not held(i) for i, _ in rows)
+    stop = (ends + 1) / (sum(train.values()) + ends + 2)
+    want = {i: sum(math.log10(sum(q for _, q in ways("▁" + w))) + math.log10(1 - stop) for w in (t or "").split()) + math.log10(stop) for i, t in rows}
+    got = {r.doc_id: r.score for r in lmscore.score_documents(frame(spark, rows), "").collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_lm_scoring(spark):
     rows = [(k, f"The cat sat {k} times. " * (k % 4 + 1)) for k in range(60)] + [(100, None), (101, ""), (101, "x"), (None, "the cat"), (102, "q" * 3000)]
     got = lmscore.score_documents(frame(spark, rows), queries.VOCABULARY).collect()
@@ -171,7 +213,7 @@ PASSAGE = "The first sentence of the passage has words. Then a second one follow
 
 
 def test_line_dedup(spark):
-    rows = [(1, f"Own start of one.\n{PASSAGE}\nOwn end."), (2, f"Different text here. {PASSAGE} More of it."), (3, PASSAGE.upper()), (4, "Yes.\nClean text of its own that nobody repeats."), (5, "Yes.\nAnother clean text without any repetition."), (6, None), (7, ""), (None, PASSAGE), (8, "Same row twice in the table, as it happens."), (8, "Same row twice in the table, as it happens.")]
+    rows = [(1, f"Own start of one.\n{PASSAGE}\nOwn end."), (2, f"Different text here. {PASSAGE} More of it."), (3, PASSAGE.upper()), (4, "Clean text of its own that nobody repeats."), (5, "Another clean text without any repetition."), (6, None), (7, ""), (None, PASSAGE), (8, "Same row twice in the table, as it happens."), (8, "Same row twice in the table, as it happens.")]
     rows.append((9, "line that repeats within one text " * 2 + "\n" + "line that repeats within one text " * 2))
     got = defaultdict(list)
     for r in linededup.remove_repeats(frame(spark, rows)).collect():
@@ -188,6 +230,67 @@ def test_line_dedup(spark):
     assert linededup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def brute_line_dedup(rows, order, min_words):
+    """Clean text of every row, unit by unit; order: (doc_id, rank among its texts) of each row."""
+
+    def cut(t):
+        return [m.span() for m in re.finditer(r"(?:(?![.!?][ \t])[^\n])*(?:[.!?](?=[ \t]))?", t) if t[m.start() : m.end()].strip(" \t\n\r\v\f")]
+
+    trimmed = []
+    for i, t in rows:
+        # the space behind a sentence mark belongs to no unit
+        trimmed.append([(a + (a > 0 and t[a - 1] in ".!?" and t[a] in " \t"), b) for a, b in cut(t or "")])
+    norm = lambda t: b" ".join(t.encode().lower().split())
+    first = {}
+    for (i, t), o, us in sorted(zip(rows, order, trimmed), key=lambda x: x[1]):
+        for a, b in us:
+            first.setdefault(norm(t[a:b]), (o, a))
+    out = []
+    for (i, t), o, us in zip(rows, order, trimmed):
+        t = t or ""
+        rep = [first[norm(t[a:b])] != (o, a) for a, b in us]
+        gone = set()
+        k = 0
+        while k < len(us):
+            j = k
+            while j < len(us) and rep[j]:
+                j += 1
+            if sum(len(norm(t[a:b]).split()) for a, b in us[k:j]) >= min_words:
+                gone.update(range(k, j))
+            k = max(j, k + 1)
+        lines = defaultdict(list)
+        for k, (a, _) in enumerate(us):
+            lines[t.count("\n", 0, a)].append(k)
+        for own in lines.values():
+            if all(rep[k] for k in own):
+                gone.update(own)
+        text = list(t)
+        for k in gone:
+            a, b = us[k]
+            for x in range(a, min(len(t), b + 1)):
+                text[x] = ""
+        out.append("".join(text))
+    return out
+
+
+@pytest.mark.parametrize("min_words", [1, 8])
+def test_line_dedup_against_brute_force(spark, min_words):
+    """Repeated ids with equal and different texts, ties, a long text, and units of many sizes."""
+    rng = random.Random(9)
+    pool = [" ".join(f"u{rng.randrange(60)}" for _ in range(rng.choice([1, 2, 5, 12]))) + rng.choice([".", "!", "", "?"]) for _ in range(60)]
+    rows = []
+    for k in range(120):
+        lines = [rng.choice([" ", "\t"]).join(rng.choice([*pool, f"own {k} {n}."]) for _ in range(rng.choice([1, 1, 3]))) for n in range(rng.randrange(1, 6))]
+        rows.append((k, "\n".join(lines)))
+    rows += [(5, rows[7][1]), (5, rows[5][1]), (9, "A text of its own under an id that repeats.\n" + pool[3]), (500, None), (501, ""), (502, "\n".join(pool * 80 + ["last"]))]
+    df = frame(spark, rows)
+    hashes = [r.h for r in df.selectExpr("xxhash64(text) as h").collect()]
+    want = brute_line_dedup(rows, [(i, h) for (i, _), h in zip(rows, hashes)], min_words)
+    got = linededup.remove_repeats(df, min_words).collect()
+    assert Counter((r.doc_id, r.clean_text) for r in got) == Counter((i, c) for (i, _), c in zip(rows, want))
+    assert any(r.n_removed for r in got) and any(r.n_removed == 0 for r in got)
+
+
 def naive_spans(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
@@ -207,6 +310,14 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(t) == naive_spans(t), t
 
 
+@pytest.mark.parametrize("text", ["1" * 1_000_000, ". " + "7" * 500_000 + "." + "8" * 500_000, "at dot " + "x" * 1_000_000, "x" * 1_000_000 + " at " + "y" * 100_000, "a@" * 200_000, "1." * 300_000, "+1" * 300_000, "(1" * 300_000, " at " * 200_000 + " dot " * 10, "(at)" * 200_000 + "dot"])
+def test_personal_data_takes_linear_time(text):
+    began = time.process_time()
+    pii.base_spans(text)
+    pii.candidates(text)
+    assert time.process_time() - began < 10
+
+
 def test_personal_data(spark):
     rows = [(k, f"Reach me at user{k}@mail.example.com or +1 (212) 555-01{k % 90 + 10}, host 10.0.{k % 250}.7, card 4111 1111 1111 1111, order 1234567890123.") for k in range(120)]
     rows += [(500, None), (501, ""), (501, "x"), (None, "a@b.co"), (502, "no data " * 5000)]

@@ -93,6 +93,21 @@ def test_mix_meets_targets(spark):
             assert per_id[r.doc_id] == r.copies
 
 
+def test_apply_mix_with_null_and_repeated_ids(spark):
+    """The rows that come out are as many words a source as mix() takes."""
+    rows = [(None if k % 2 else k // 3, "w " * (1 + k * 5 % 40), "ab"[k % 3 == 0]) for k in range(300)] + [(7, "same text", "a")] * 5
+    df = frame(spark, rows)
+    want = defaultdict(int)
+    for r in mixing.mix(df).collect():
+        want[r.source] += r.taken
+    out = mixing.apply_mix(df).collect()
+    got = defaultdict(int)
+    for r in out:
+        got[r.source] += len(WORD.findall(r.text))
+    assert got == want
+    assert max(Counter((r.doc_id, r.text, r.source) for r in out if r.text == "same text").values()) <= 15
+
+
 def test_mix_empty(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
 
