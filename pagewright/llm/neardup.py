@@ -376,6 +376,8 @@ def _deeper(recs: DataFrame, links: DataFrame, docs: DataFrame, alike: int) -> D
         if depth == DEPTH:
             waiting.append(blocks(large))
             break
-        ready, large = parts(tag(children(large, depth)))
+        below = cut(children(large, depth), "neardup-children")
+        ready, large = parts(tag(below))
+        drop_cut(below)
         waiting.append(ready)
     return relabel(compare(reduce(DataFrame.union, waiting))) if waiting else labels
