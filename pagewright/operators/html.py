@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.functions import exprs as X
+
 # fixed values: tags of nodes, and tags that style text inside one
 NODE_TAGS = "header main footer figure figcaption table thead tbody tfoot th tr td caption section nav aside p ul ol li h1 h2 h3 h4 h5 h6 img math code cite blockquote".split()
 INLINE_TAGS = "b i u s sup sub br".split()
 # fixed values: elements without an end tag
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ELEMENTS = "ord int, parent int, depth int, tag string, attrs map<string,string>, own_text string, n_children int, path array<int>"
+ELEMENTS = "ord int, parent int, depth int, tag string, attrs map<string,string>, own_text string, n_children int"
 
 
 class _Tree(HTMLParser):
@@ -29,7 +31,6 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         up = self.open[-1] if self.open else None
         row = {"ord": len(self.rows), "parent": up, "depth": len(self.open), "tag": tag, "attrs": {k: v or "" for k, v in attrs}, "own_text": "", "n_children": 0, "parts": []}
-        row["path"] = (self.rows[up]["path"] if up is not None else []) + [row["ord"]]
         if up is not None:
             self.rows[up]["n_children"] += 1
             self.rows[up]["parts"].append(row["ord"])
@@ -71,7 +72,7 @@ def parse_elements(pages: DataFrame, key: str, html: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = None
         for b in batches:
-            fields = [("ord", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()), ("n_children", pa.int32()), ("path", pa.list_(pa.int32()))]
+            fields = [("ord", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()), ("n_children", pa.int32())]
             schema = pa.schema([(key, b.schema.field(0).type), *fields])
             out = {n: [] for n in schema.names}
             for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -88,22 +89,48 @@ _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 NODES = "ord int, parent int, depth int, seq int, tag string, text_content string, sources string, ok boolean"
 
 
+def _plain(text: str) -> str:
+    return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+
+def _quoted(value: str) -> str:
+    """An attribute value in double quotes, in single ones if it holds double ones only."""
+    value = _plain(value)
+    if '"' not in value:
+        return f'"{value}"'
+    return f"'{value}'" if "'" not in value else '"' + value.replace('"', "&quot;") + '"'
+
+
+def markup(rows: list[dict], top: int) -> str:
+    """An element with all that it holds as HTML again; by a stack, so any depth will do."""
+    out, stack = [], [top]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, tuple):
+            out.append(x[0])
+        elif isinstance(x, str):
+            out.append(_plain(x))
+        else:
+            e = rows[x]
+            start = e["tag"] + "".join(f" {k}={_quoted(v)}" for k, v in e["attrs"].items())
+            if e["tag"] in VOID:
+                out.append(f"<{start}/>")
+            else:
+                out.append(f"<{start}>")
+                stack += [(f"</{e['tag']}>",), *reversed(e["parts"])]
+    return "".join(out)
+
+
 def nodes_of(html: str | None) -> list[tuple]:
     """Node rows of a page: (ord, parent, depth, seq, tag, text, sources, ok).
 
-    Text with inline tags keeps them as literal tags; otherwise the first text that is not blank
-    counts. Pictures keep no text and no children. ok is false for a tag that no node may have.
+    Text with inline tags keeps them as they are written, attributes and entities included; otherwise
+    the first text that is not blank counts, and a text that is all of the element even if blank.
+    Pictures keep no text and no children. ok is false for a tag that no node may have.
     """
     rows = elements_of(html)
     out = []
 
-    def literal(part) -> str:
-        if isinstance(part, str):
-            return part
-        e = rows[part]
-        inner = "".join(literal(p) for p in e["parts"] if isinstance(p, str) or rows[p]["tag"] in INLINE_TAGS)
-        return "<br/>" if e["tag"] == "br" else f"<{e['tag']}>{inner}</{e['tag']}>"
-
     def visit(n: int, parent, depth: int, seq: int) -> None:
         stack = [(n, parent, depth, seq)]
         while stack:
@@ -113,7 +140,9 @@ def nodes_of(html: str | None) -> list[tuple]:
             text = None
             if e["tag"] != "img":
                 if styled:
-                    text = "".join(literal(p) for p in e["parts"] if isinstance(p, str) or rows[p]["tag"] in INLINE_TAGS).strip()
+                    text = "".join(p if isinstance(p, str) else markup(rows, p) for p in e["parts"] if isinstance(p, str) or rows[p]["tag"] in INLINE_TAGS).strip()
+                elif len(e["parts"]) == 1 and isinstance(e["parts"][0], str):
+                    text = e["parts"][0].strip()
                 else:
                     text = next((p.strip() for p in e["parts"] if isinstance(p, str) and p.strip()), None)
             out.append((n, parent, depth, seq, e["tag"], None if text is None else _CONTROL.sub("", text), e["attrs"].get("data-sources"), e["tag"] in NODE_TAGS))
@@ -126,23 +155,62 @@ def nodes_of(html: str | None) -> list[tuple]:
     return out
 
 
-def create_nodes(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Node rows of every page (see nodes_of), in document order."""
+def create_nodes(pages: DataFrame, key: str, html: str, paths: bool = False) -> DataFrame:
+    """Node rows of every page (see nodes_of), in document order; with paths also `path`, the ords from the root.
+
+    Rows leave in batches of bounded size, so that a page nested to any depth needs bounded memory.
+    """
     kind = pages.schema[key].dataType.simpleString()
-    names = [c.split()[0] for c in NODES.split(", ")]
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+    names = [c.split()[0] for c in NODES.split(", ")] + ["path"] * paths
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_()] + [pa.list_(pa.int32())] * paths
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(keys, rows, of):
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(keys, of), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=[key, *names])
+
         for b in batches:
-            keys, rows = [], []
+            of = b.schema.field(0).type
+            keys, rows, held = [], [], 0
             for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 found = nodes_of(h)
-                keys += [k] * len(found)
-                rows += found
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=[key, *names])
-
-    return pages.select(key, html).mapInArrow(run, f"{key} {kind}, {NODES}")
+                up = {r[0]: r[1] for r in found} if paths else {}
+                for r in found:
+                    if paths:
+                        path, at = [], r[0]
+                        while at is not None:
+                            path.append(at)
+                            at = up[at]
+                        r = (*r, path[::-1])
+                        held += len(path)
+                    keys.append(k)
+                    rows.append(r)
+                    if held > 1_000_000:
+                        yield table(keys, rows, of)
+                        keys, rows, held = [], [], 0
+            yield table(keys, rows, of)
+
+    return pages.select(key, html).mapInArrow(run, f"{key} {kind}, {NODES}" + ", path array<int>" * paths)
+
+
+def document_graph(pages: DataFrame, key: str, html: str, blocks: DataFrame) -> DataFrame:
+    """Nodes of every page with what their content blocks know: path, positions and picture fields.
+
+    blocks: key, block_id, block_type, page_number, page_logical, x1, y1, x2, y2, storage_url,
+    description, caption. Ids in data-sources that no block has don't count, nor does an attribute
+    that is no id range. positions holds one box a page, with the first logical page known; a picture
+    takes its fields from its first source that is one. path lists the ords from the root.
+    """
+    nodes = create_nodes(pages, key, html, paths=True)
+    ids = X.parse_ranges(F.col("sources"))["ids"]
+    wanted = nodes.filter("sources is not null").select(key, "ord", "tag", F.posexplode(ids).alias("pos", "block_id"))
+    j = wanted.join(blocks, [key, "block_id"])
+    box = j.groupBy(key, "ord", "page_number").agg(
+        F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"), F.min(F.when(F.col("page_logical").isNotNull(), F.struct("pos", "page_logical")))["page_logical"].alias("page_logical"),
+    )
+    positions = box.groupBy(key, "ord").agg(F.sort_array(F.collect_list(F.struct("page_number", "page_logical", "x1", "y1", "x2", "y2"))).alias("positions"))
+    pictures = j.filter("tag = 'img' and block_type = 'Picture'").groupBy(key, "ord").agg(F.min_by(F.struct("storage_url", "description", "caption"), "pos").alias("p"))
+    return nodes.join(positions, [key, "ord"], "left").join(pictures, [key, "ord"], "left").select("*", "p.*").drop("p")
 
 
 def pretty_print(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -152,32 +220,24 @@ def pretty_print(pages: DataFrame, key: str, html: str) -> DataFrame:
     def show(h: str | None) -> str:
         rows, lines = elements_of(h), []
 
-        def put(n: int, depth: int) -> None:
-            e = rows[n]
+        stack = [(r["ord"], 0) for r in reversed(rows) if r["parent"] is None]
+        while stack:
+            x, depth = stack.pop()
+            if isinstance(x, str):
+                if x.strip():
+                    lines.append(" " * depth + x.strip())
+                continue
+            e = rows[x]
             attrs = "".join(f' {a}="{v}"' for a, v in e["attrs"].items())
             lines.append(" " * depth + f"<{e['tag']}{attrs}>")
-            for p in e["parts"]:
-                if isinstance(p, str):
-                    if p.strip():
-                        lines.append(" " * (depth + 1) + p.strip())
-                else:
-                    put(p, depth + 1)
             if e["tag"] not in VOID:
-                lines.append(" " * depth + f"</{e['tag']}>")
-
-        for r in rows:
-            if r["parent"] is None:
-                put(r["ord"], 0)
+                stack.append((f"</{e['tag']}>", depth))
+            stack += [(p, depth + 1) for p in reversed(e["parts"])]
         return "\n".join(lines)
 
     def run(batches):
         for b in batches:
-            out = []
-            for h in b.column(1).to_pylist():
-                try:
-                    out.append(show(h))
-                except RecursionError:  # deeper than the interpreter allows: left as it is
-                    out.append(h)
+            out = [show(h) for h in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=[key, "pretty"])
 
     return pages.select(key, html).mapInArrow(run, f"{key} {kind}, pretty string")
@@ -185,9 +245,7 @@ def pretty_print(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 def tags_in(html: Column) -> Column:
     """Lower-case names of the start tags in the body (in all of the text without one), by pattern."""
-    from pagewright.functions.exprs import html_body
-
-    return F.transform(F.regexp_extract_all(html_body(html), F.lit("<([a-zA-Z][a-zA-Z0-9]*)"), F.lit(1)), F.lower)
+    return F.transform(F.regexp_extract_all(X.html_body(html), F.lit("<([a-zA-Z][a-zA-Z0-9]*)"), F.lit(1)), F.lower)
 
 
 def disallowed_tags(html: Column, exclude: list[str] | None = None) -> Column:

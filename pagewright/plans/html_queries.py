@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as X
 from pagewright.operators import html as H
+from pagewright.plans.layout_queries import strip_sql
 from pagewright.plans.registry import query
-from pagewright.plans.text_queries import BLOCK_HTML, _html
+from pagewright.plans.text_queries import BLOCK_HTML, ESCAPE, _html
 from pagewright.sources import views as V
 from pagewright.sources.views import BLOCKS_SQL, CONTENT_SQL
 
@@ -26,6 +27,23 @@ def _(spark, d):
     return H.create_nodes(V.table(spark, d, "pages").withColumn("body", X.html_body(F.col("html"))), "page_id", "body")
 
 
+@query("html_to_graph", CONTENT_SQL + f""", c AS (SELECT *, CAST(page_number - 1 AS INTEGER) AS p, CAST(count(*) OVER (PARTITION BY doc_id, page_number ORDER BY block_id) AS INTEGER) AS nth, CAST(block_id AS INTEGER) + page_number AS ord FROM content_blocks),
+ s AS (SELECT doc_id, p, page_number, CAST(min(ord) - 1 AS INTEGER) AS ord, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2, any_value(page_logical) AS page_logical FROM c GROUP BY ALL)
+ SELECT doc_id, ord, CAST(NULL AS INTEGER) AS parent, p AS seq, 'section' AS tag, CAST(NULL AS VARCHAR) AS text_content, CAST(ord AS VARCHAR) AS path, page_number, page_logical, x1, y1, x2, y2, CAST(NULL AS VARCHAR) AS storage_url, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS caption FROM s
+ UNION ALL SELECT c.doc_id, c.ord, s.ord, nth - 1, CASE WHEN block_type = 'Picture' THEN 'img' ELSE 'p' END, CASE WHEN block_type <> 'Picture' AND text_content <> '' THEN {strip_sql('text_content')} END, s.ord || '/' || c.ord, c.page_number, c.page_logical, c.x1, c.y1, c.x2, c.y2, storage_url, description, CASE WHEN block_type = 'Picture' THEN caption END FROM c JOIN s USING (doc_id, p)""")
+def _(spark, d):
+    b = V.content_blocks(spark, d)
+    pic = F.col("block_type") == "Picture"
+    source = F.concat(F.lit(' data-sources="'), F.col("block_id").cast("string"), F.lit('"'))
+    one = F.when(pic, F.concat(F.lit("<img"), source, F.lit(" />"))).otherwise(F.concat(F.lit("<p"), source, F.lit(">"), X.html_escape(F.col("text_content")), F.lit("</p>")))
+    page = b.groupBy("doc_id", "page_number").agg(F.min("block_id").alias("lo"), F.max("block_id").alias("hi"), F.array_sort(F.collect_list(F.struct("block_id", one.alias("h")))).alias("x"))
+    page = page.select("doc_id", "page_number", F.concat(F.lit('<section data-sources="'), F.col("lo").cast("string"), F.lit("-"), F.col("hi").cast("string"), F.lit('">'), F.array_join(F.transform("x", lambda e: e["h"]), ""), F.lit("</section>")).alias("h"))
+    docs = page.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", "h"))).alias("x")).select("doc_id", F.array_join(F.transform("x", lambda e: e["h"]), "").alias("html"))
+    g = H.document_graph(docs, "doc_id", "html", b)
+    at = g["positions"][0]
+    return g.select("doc_id", "ord", "parent", "seq", "tag", "text_content", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), at["page_number"].alias("page_number"), at["page_logical"].alias("page_logical"), *[at[c].alias(c) for c in ("x1", "y1", "x2", "y2")], "storage_url", "description", "caption")
+
+
 @query("pretty_print_html")
 def _(spark, d):
     return H.pretty_print(V.table(spark, d, "pages"), "page_id", "html").select("page_id", F.sha2("pretty", 256).alias("pretty_sha256"))

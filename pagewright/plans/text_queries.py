@@ -270,11 +270,43 @@ def _(spark, d):
     return E.delete_ranges(V.table(spark, d, "documents"), _ranges(spark, d)).select("doc_id", F.sha2("text", 256).alias("hash"), "applied")
 
 
-@query("edit_file_contents")
+PATCHED = """p AS (SELECT doc_id, string_split(text, chr(10)) AS l, text, 1 + doc_id % 3 AS a0, 1 + doc_id % 3 + doc_id % 6 AS b0, 5 + doc_id % 3 AS a1, 5 + doc_id % 3 + (doc_id + 1) % 6 AS b1 FROM documents),
+ q AS (SELECT *, a1 > b0 AND b0 <= len(l) AND b1 <= len(l) AS valid, list_concat(list_concat(l[1:a0 - 1], ['PATCH', 'LINE']), l[b0 + 1:]) AS l1 FROM p)"""
+
+
+def _patches(spark, d):
+    p = F.struct(F.col("a").alias("pos"), F.col("a").alias("start"), F.col("b").alias("end"), F.lit("PATCH\nLINE").alias("contents"))
+    return _ranges(spark, d).select("doc_id", p.alias("p")).groupBy("doc_id").agg(F.array_sort(F.collect_list("p")).alias("patches"))
+
+
+@query("validate_patches", PATCHED + " SELECT doc_id, valid FROM q")
+def _(spark, d):
+    docs = V.table(spark, d, "documents").join(_patches(spark, d), "doc_id")
+    return docs.select("doc_id", E.valid_patches(F.col("patches"), F.size(F.split("text", "\n", -1))).alias("valid"))
+
+
+@query("edit_file_contents", PATCHED + " SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'stale' WHEN NOT valid THEN 'invalid' ELSE 'ok' END AS result, sha256(CASE WHEN doc_id % 5 <> 0 AND valid THEN array_to_string(list_concat(list_concat(l1[1:a1 - 1], ['PATCH', 'LINE']), l1[b1 + 1:]), chr(10)) ELSE text END) AS hash FROM q")
 def _(spark, d):
     docs = V.table(spark, d, "documents")
-    patches = _ranges(spark, d).select("doc_id", F.struct(F.col("a").alias("pos"), F.col("a").alias("start"), F.col("b").alias("end"), F.lit("PATCH\nLINE").alias("contents")).alias("p")).groupBy("doc_id").agg(F.array_sort(F.collect_list("p")).alias("patches"))
-    return E.apply_patches(docs.withColumn("expected_hash", F.when(F.col("doc_id") % 5 != 0, F.sha2("text", 256)).otherwise("stale")), patches).select("doc_id", "result", F.sha2("new_text", 256).alias("hash"))
+    return E.apply_patches(docs.withColumn("expected_hash", F.when(F.col("doc_id") % 5 != 0, F.sha2("text", 256)).otherwise("stale")), _patches(spark, d)).select("doc_id", "result", F.sha2("new_text", 256).alias("hash"))
+
+
+@query("delete_with_range_hashes", """r AS (SELECT doc_id, text, string_split(text, chr(10)) AS l, 1 + doc_id % 3 AS a, 1 + doc_id % 3 + doc_id % 4 AS b FROM documents),
+ s AS (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'Content hash mismatch' WHEN doc_id % 11 = 0 THEN 'Missing required argument: ranges' WHEN b > len(l) THEN 'Invalid ranges' WHEN doc_id % 5 = 0 THEN 'Content hash mismatch for range ' || a || '-' || b END AS reason FROM r)
+ SELECT doc_id, CASE WHEN reason IS NULL THEN 'ok' ELSE 'error' END AS result, reason, sha256(CASE WHEN reason IS NULL THEN array_to_string(list_concat(l[1:a - 1], l[b + 1:]), chr(10)) ELSE text END) AS hash FROM s""")
+def _(spark, d):
+    docs, i, lines = V.table(spark, d, "documents"), F.col("doc_id"), F.split("text", "\n", -1)
+    a, b = (1 + i % 3).cast("int"), (1 + i % 3 + i % 4).cast("int")
+    own = F.concat(F.array_join(F.slice(lines, a, b - a + 1), "\n"), F.when(b < F.size(lines), "\n").otherwise(""))
+    ranges = docs.filter(i % 11 != 0).select("doc_id", a.alias("a"), b.alias("b"), F.when(i % 5 != 0, F.sha2(own, 256)).otherwise("other").alias("range_hash"))
+    files = docs.select("doc_id", "text", F.when(i % 7 != 0, F.sha2("text", 256)).otherwise("other").alias("expected_hash"))
+    return E.delete_checked(files, ranges).select("doc_id", "result", "reason", F.sha2("new_text", 256).alias("hash"))
+
+
+@query("patch_request_validation", "SELECT doc_id, doc_id % 3 <> 0 AND doc_id % 5 >= 1 AND (doc_id % 4 = 0 OR doc_id % 7 >= doc_id % 5) AND doc_id % 2 = 1 AS valid FROM documents")
+def _(spark, d):
+    i = F.col("doc_id")
+    return V.table(spark, d, "documents").select("doc_id", E.valid_patch_request(F.when(i % 3 != 0, "h").otherwise(""), i % 5, F.when(i % 4 != 0, i % 7), F.when(i % 2 == 1, "r")).alias("valid"))
 
 
 @query("edit_result", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '{\"result\":\"error\",\"reason\":\"stale\"}' ELSE '{\"result\":\"ok\",\"hash\":\"' || sha256(text) || '\"}' END AS result FROM documents")
