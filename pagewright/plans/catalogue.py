@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.plans import catalog_queries, html_queries, layout_queries, page_queries, registry, relational_queries, task_queries, text_queries, tree_queries  # noqa: F401  they register
+from pagewright.plans import catalog_queries, file_queries, html_queries, layout_queries, page_queries, registry, relational_queries, task_queries, text_queries, tree_queries  # noqa: F401  they register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

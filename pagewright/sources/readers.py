@@ -15,7 +15,7 @@ BLOCK_TYPES = ["Text", "Title", "Section header", "Picture", "Table", "List item
 def layout_json(spark: SparkSession, path: str) -> DataFrame:
     """Rows of JSON array files with a fixed schema; unknown fields are dropped, rows of unknown type or page below 1 too."""
     rows = spark.read.schema(LAYOUT).option("multiLine", True).json(path)
-    return rows.filter(F.col("type").isin(BLOCK_TYPES) & (F.col("page_number") >= 1))
+    return rows.filter(F.col("type").isin(BLOCK_TYPES) & (F.col("page_number") >= 1)).select(*[c.split()[0] for c in LAYOUT.split(", ")])
 
 
 def content_blocks_json(spark: SparkSession, path: str) -> DataFrame:

@@ -2,20 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions.exprs import with_marker
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors see, below spark.checkpoint.dir; a temporary one in a session on one machine without it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="pagewright-")
+    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def _write_files(rows: DataFrame, path: str) -> None:
+    """rows: file, value. A folder named like each file holds its text, with a line end behind it."""
+    rows.repartition("file").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def write_layout(blocks: DataFrame, path: str) -> None:
+    """doc_{id}.json for each document: a JSON array of layout blocks, in input order."""
+    fields = ["left", "top", "width", "height", "page_number", "page_width", "page_height", "text", "type"]
+    a = blocks.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("input_pos", F.struct(*fields).alias("b")))).alias("x"))
+    _write_files(a.select(F.format_string("doc_%d.json", "document_id").alias("file"), F.to_json(F.transform("x", lambda e: e["b"])).alias("value")), path)
+
+
 def write_content_blocks(blocks: DataFrame, path: str) -> None:
-    """JSON lines in one folder for each document, in block order."""
-    blocks.repartition("document_id").sortWithinPartitions("document_id", "block_id").write.mode("overwrite").partitionBy("document_id").json(path)
+    """doc_{id}_content_blocks.json for each document: a JSON array of content blocks, by block_id."""
+    fields = ["positional_data", "block_type", "embedding_source", "text_content", "storage_url", "description", "caption"]
+    a = blocks.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("block_id", F.struct(*fields).alias("b")))).alias("x"))
+    _write_files(a.select(F.format_string("doc_%d_content_blocks.json", "document_id").alias("file"), F.to_json(F.transform("x", lambda e: e["b"])).alias("value")), path)
 
 
 def write_html(documents: DataFrame, path: str, marker: str = "<!-- Approved -->") -> None:
-    """One text file for each document (document_id, html), approved marker in front, once."""
-    documents.select("document_id", with_marker(F.col("html"), marker).alias("value")).repartition("document_id").write.mode("overwrite").partitionBy("document_id").text(path)
+    """doc_{id}.html for each document (document_id, html), approved marker in front, once."""
+    _write_files(documents.select(F.format_string("doc_%d.html", "document_id").alias("file"), with_marker(F.col("html"), marker).alias("value")), path)
 
 
 def append_nodes(nodes: DataFrame, content: DataFrame, path: str) -> None:
