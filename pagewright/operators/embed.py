@@ -23,5 +23,6 @@ def batches(rows: DataFrame, keys: list[str], order: str, item: str, size: int)
 def nearest_heading(entries: DataFrame, headings: DataFrame) -> DataFrame:
     """For every entry the heading of its group with the highest cosine; ties to the smaller heading_id."""
     j = entries.join(headings, "grp").filter("entry_id <> heading_id").withColumn("similarity", cosine("e", "h"))
-    w = Window.partitionBy("entry_id").orderBy(F.desc(F.round("similarity", 9)), "heading_id")
-    return j.withColumn("r", F.row_number().over(w)).filter("r = 1").select("entry_id", "heading_id", F.round("similarity", 5).alias("similarity"))
+    # combined before the shuffle: one row for an entry leaves each task
+    best = j.groupBy("entry_id").agg(F.max(F.struct(F.round("similarity", 9).alias("s"), (-F.col("heading_id")).alias("back"), "similarity")).alias("m"))
+    return best.select("entry_id", (-F.col("m.back")).alias("heading_id"), F.round("m.similarity", 5).alias("similarity"))

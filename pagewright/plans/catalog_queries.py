@@ -192,14 +192,14 @@ def _(spark, d):
     return C.cascade_delete(V.table(spark, d, "documents").filter("lang = 'fr'").select("doc_id"), V.nodes(spark, d), "doc_id").select("node_id")
 
 
-COS = "SELECT a.vec_id AS entry_id, b.vec_id AS heading_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 5 = 0 AND b.vec_id % 3 = 0"
+COS = "SELECT a.vec_id AS entry_id, b.vec_id AS heading_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id"
 
 
 @query("toc_to_heading", f"SELECT entry_id, heading_id, round(s, 5) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY round(s, 9) DESC, heading_id) AS r FROM ({COS})) WHERE r = 1")
 def _(spark, d):
     e = V.table(spark, d, "embeddings")
-    entries = e.filter("vec_id % 5 = 0").select(F.col("label").alias("grp"), F.col("vec_id").alias("entry_id"), F.col("embedding").alias("e"))
-    heads = e.filter("vec_id % 3 = 0").select(F.col("label").alias("grp"), F.col("vec_id").alias("heading_id"), F.col("embedding").alias("h"))
+    entries = e.select(F.col("label").alias("grp"), F.col("vec_id").alias("entry_id"), F.col("embedding").alias("e"))
+    heads = e.select(F.col("label").alias("grp"), F.col("vec_id").alias("heading_id"), F.col("embedding").alias("h"))
     return M.nearest_heading(entries, heads)
 
 
