@@ -130,6 +130,21 @@ def test_top_k(spark, monkeypatch, block):
     assert got == brute_top(rows)
 
 
+def test_top_k_of_many_groups_and_chunks(spark, monkeypatch):
+    """Queries are joined with no rings: rows of all queries and pivots were once broadcast, which failed on large tables."""
+    for name, n in (("BLOCK", 4), ("HELD", 8), ("CHUNK", 3), ("SLICE", 2)):
+        monkeypatch.setattr(topk, name, n, raising=False)
+    rng = np.random.default_rng(5)
+    for scale in (0.1, 1.0, 200.0):  # bytes, floats, and products beyond floats
+        rows = [(i, (scale * rng.normal(size=6)).astype("float32").tolist()) for i in range(0, 1200, 5)] + [(i, [scale] * 6) for i in range(2001, 2061)]
+        found = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+        got = defaultdict(list)
+        for r in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
+            got[r.query_id].append((r.vec_id, r.score))
+        assert got == brute_top(rows)
+
+
 def test_top_k_repeats(spark):
     """Equal rows are candidates each; equal query rows answer once."""
     df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [0.5])], "vec_id long, embedding array<float>")
