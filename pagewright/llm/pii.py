@@ -3,9 +3,11 @@
 Generators propose spans with high recall: addresses and hosts written out ("at", "dot"), and digit
 groups of any punctuation. A candidate is labelled by evidence that the base patterns have no part
 in: the written-out form normalised, with a common top-level domain or a cue word; part ranges; Luhn;
-a digit plan with a cue word or a plus. Boosted trees learn these labels, on a bounded sample of
-documents, from the format and the text around, without that evidence. A threshold is calibrated on
-candidates held back that overlap no base span, so that 98 of 100 above it are right. Base spans
+a digit plan with a cue word or a plus. Boosted trees learn these labels, on the candidates of all
+documents, from the format and the text around, without that evidence: candidates are counted by
+label and binned features, and these counts are the weights of the trees' rows. A threshold is
+calibrated on all candidates held back (one in four, by hash) that overlap no base span, so that 98
+of 100 above it are right. Base spans
 always stay; a candidate that overlaps none of them and whose score reaches the threshold is added,
 except where it has the form of a base match that failed its check.
 """
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.common import cut, drop_cut
+
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_DOCS, SAMPLE_SPANS = 4_000, 20_000
+#: Bins of a feature, at quantiles over all candidates.
+CUTS = 16
+#: Distinct rows of binned features that come to the driver at most (the name is from when these were sampled):
+#: where there are more, bins become coarser, down to two a feature; no candidate is left out.
+SAMPLE_SPANS = 200_000
 PRECISION = 0.98
 # fixed values: the base patterns
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -155,6 +164,11 @@ def features(text: str, a: int, kind: int, b: int) -> list[float]:
     ]
 
 
+def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """For every value the number of its feature's edges below it."""
+    return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], axis=1).astype(np.uint8)
+
+
 class Trees:
     """Gradient-boosted regression trees of depth `depth` on quantile cuts, logistic loss."""
 
@@ -162,35 +176,39 @@ class Trees:
         self.rounds, self.depth, self.rate, self.cuts, self.least = rounds, depth, rate, cuts, least
         self.start, self.trees = 0.0, []
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    def fit(self, x: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None, edges: list[np.ndarray] | None = None) -> Trees:
+        """weights: how many examples a row stands for; edges: the cuts of every feature, else quantiles of x."""
+        w = np.ones(len(y)) if weights is None else weights.astype(float)
+        p = np.clip((w * y).sum() / w.sum(), 1e-3, 1 - 1e-3)
         self.start = float(np.log(p / (1 - p)))
         z = np.full(len(y), self.start)
-        edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.cuts + 1)[1:-1])) for j in range(x.shape[1])]
+        if edges is None:
+            edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.cuts + 1)[1:-1])) for j in range(x.shape[1])]
+        bins = binned(x, edges)
         for _ in range(self.rounds):
             prob = 1 / (1 + np.exp(-z))
-            tree = self._grow(x, y - prob, prob * (1 - prob), edges, np.arange(len(y)), self.depth)
+            tree = self._grow(bins, w * (y - prob), w * prob * (1 - prob), w, edges, np.arange(len(y)), self.depth)
             self.trees.append(tree)
             z += self.rate * self._walk(tree, x)
         return self
 
-    def _grow(self, x, g, h, edges, rows, depth):
-        G, H = g[rows].sum(), h[rows].sum()
+    def _grow(self, bins, g, h, w, edges, rows, depth):
+        G, H, W = g[rows].sum(), h[rows].sum(), w[rows].sum()
         best = (1e-6, None)
-        if depth and len(rows) >= 2 * self.least:
+        if depth and W >= 2 * self.least:
             for j, cuts in enumerate(edges):
-                for c in cuts:
-                    left = x[rows, j] <= c
-                    n = left.sum()
-                    if self.least <= n <= len(rows) - self.least:
-                        gl, hl = g[rows][left].sum(), h[rows][left].sum()
-                        gain = gl**2 / (hl + 1) + (G - gl) ** 2 / (H - hl + 1) - G**2 / (H + 1)
-                        if gain > best[0]:
-                            best = (gain, (j, c, left))
+                if not len(cuts):
+                    continue
+                gl, hl, n = (np.bincount(bins[rows, j], v[rows], len(cuts) + 1).cumsum()[:-1] for v in (g, h, w))
+                gain = np.where((self.least <= n) & (n <= W - self.least), gl**2 / (hl + 1) + (G - gl) ** 2 / (H - hl + 1) - G**2 / (H + 1), 0)
+                c = int(gain.argmax())
+                if gain[c] > best[0]:
+                    best = (gain[c], (j, c))
         if best[1] is None:
             return float(np.clip(G / (H + 1), -4, 4))
-        j, c, left = best[1]
-        return (j, float(c), self._grow(x, g, h, edges, rows[left], depth - 1), self._grow(x, g, h, edges, rows[~left], depth - 1))
+        j, c = best[1]
+        left = bins[rows, j] <= c
+        return (j, float(edges[j][c]), self._grow(bins, g, h, w, edges, rows[left], depth - 1), self._grow(bins, g, h, w, edges, rows[~left], depth - 1))
 
     def _walk(self, tree, x):
         if isinstance(tree, float):
@@ -210,37 +228,69 @@ class Trees:
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y, free, at = [], [], [], []
+        x, y, free, back = [], [], [], []
         for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             text = t.as_py() or ""
+            if not (found := candidates(text)):
+                continue
             base = base_spans(text)
-            for a, k, b in candidates(text):
+            for a, k, b in found:
                 x.append(features(text, a, k, b))
                 y.append(int(evidence(text, a, k, b)))
-                at.append(f"{i}:{a}:{k}:{b}")
+                back.append(int(zlib.crc32(f"{i}:{a}:{k}:{b}".encode()) % 4 == 0))
                 free.append(int(not failed(text[a:b]) and not any(p < b and a < q for p, _, q in base)))
         if x:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(free, pa.int32()), pa.array(at)], names=["x", "y", "free", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), *[pa.array(v, pa.int32()) for v in (y, free, back)]], names=["x", "y", "free", "back"])
+
+
+def _counted(seen: DataFrame, cuts: int) -> tuple[DataFrame, list[np.ndarray]]:
+    """Candidates counted by label and bins of their features, and the borders of the bins."""
+    values = seen.select(F.posexplode("x").alias("j", "v"), "n").groupBy("j", "v").agg(F.sum("n").alias("n"))
+    at = [k / cuts for k in range(1, cuts)]
+    told = {r["j"]: r["q"] for r in values.groupBy("j").agg(F.percentile("v", at, F.col("n")).alias("q")).collect()}
+    edges = [np.unique(told[j]) for j in sorted(told)]
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                bins = binned(np.array(b.column("x").to_pylist()), edges)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in bins], pa.binary()), *[b.column(c) for c in ("y", "free", "back", "n")]], names=["bins", "y", "free", "back", "n"])
+
+    rows = seen.mapInArrow(put, "bins binary, y int, free int, back int, n long")
+    return rows.groupBy("bins", "y", "free", "back").agg(F.sum("n").alias("n")), edges
 
 
 def fit(docs: DataFrame) -> tuple[Trees | None, float]:
-    """Trees and threshold, from the SAMPLE_DOCS documents and SAMPLE_SPANS candidates in them of the smallest hashes."""
-    ids = [r[0] for r in docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
-    chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
-    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(_examples, "x array<double>, y int, free int, at string").orderBy(F.xxhash64("at"), "at", "x").limit(SAMPLE_SPANS).select("x", "y", "free").collect()
-    seen = sorted((tuple(r[0]), r[1], r[2]) for r in seen)
-    y = np.array([r[1] for r in seen])
-    if len(seen) < 50 or y.min() == y.max():
+    """Trees and threshold, from the candidates of all rows."""
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_examples, "x array<double>, y int, free int, back int")
+    seen = cut(found.groupBy("x", "y", "free", "back").agg(F.count("*").alias("n")), "pii-candidates")
+    total = seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("y").alias("low"), F.max("y").alias("high")).first()
+    if total["n"] < 50 or total["low"] == total["high"]:
+        drop_cut(seen)
+        return None, 2.0
+    cuts = CUTS
+    while True:
+        counted, edges = _counted(seen, cuts)
+        rows = counted.limit(SAMPLE_SPANS + 1).collect() if cuts > 2 else counted.collect()
+        if cuts == 2 or len(rows) <= SAMPLE_SPANS:
+            break
+        cuts //= 2
+    drop_cut(seen)
+    rows = sorted((bytes(r["bins"]), r["y"], r["free"], r["back"], r["n"]) for r in rows)
+    bins = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), -1)
+    y, free, back, n = (np.array([r[k] for r in rows]) for k in range(1, 5))
+    # any value of a bin stands for it: its upper border, or one beyond the last
+    x = np.stack([np.append(e, e[-1] + 1)[bins[:, j]] for j, e in enumerate(edges)], axis=1)
+    back, free = back > 0, free > 0
+    if back.all():
         return None, 2.0
-    x = np.array([r[0] for r in seen])
-    back = np.random.default_rng(0).random(len(y)) < 0.25
-    trees = Trees().fit(x[~back], y[~back])
-    back &= np.array([r[2] for r in seen]) > 0
+    trees = Trees().fit(x[~back], y[~back], n[~back], edges)
+    back &= free
     if not back.any():
         return None, 2.0
     s = trees.score(x[back])
     order = np.argsort(-s, kind="stable")
-    right = np.cumsum(y[back][order]) / np.arange(1, back.sum() + 1)
+    right = np.cumsum((n * y)[back][order]) / np.cumsum(n[back][order])
     # equal scores stand or fall together
     right[:-1][s[order][:-1] == s[order][1:]] = 0
     good = np.flatnonzero(right >= PRECISION)

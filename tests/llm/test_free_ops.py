@@ -435,3 +435,18 @@ def test_personal_data_sample_has_an_order(spark, monkeypatch):
     rows = [(k, f"Call ({200 + k}) 555-{1000 + 7 * k} now" if k < 120 or k % 2 else f"Part {200 + k}-555-{1000 + 7 * k} of it") for k in range(240)]
     a, b = (pii.fit(frame(spark, r).coalesce(1)) for r in (rows, rows[::-1]))
     assert a[0] and b[0] and (a[1], a[0].start, a[0].trees) == (b[1], b[0].start, b[0].trees)
+
+
+def test_personal_data_is_learnt_from_all_rows(spark, monkeypatch):
+    """Counts of equal candidates are weights, whatever the bounds on what comes to the driver; no row is left out."""
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 8, raising=False)
+    monkeypatch.setattr(pii, "SAMPLE_SPANS", 8)
+    rows = [(k, f"Call ({200 + k}) 555-{1000 + 7 * k} now" if k % 2 else f"Part {200 + k}-555-{1000 + 7 * k} of it") for k in range(240)]
+    trees, threshold = pii.fit(frame(spark, rows))
+    assert trees and threshold < 1
+    assert sum(r.n_added for r in pii.find_personal_data(frame(spark, rows)).collect()) >= 108
+    x = np.random.default_rng(2).integers(0, 4, (300, 3)).astype(float)
+    y, edges = (x[:, 0] + x[:, 1] > 3).astype(int), [np.arange(3.0)] * 3
+    each, where, n = np.unique(np.column_stack([x, y]), axis=0, return_inverse=True, return_counts=True)
+    a, b = pii.Trees().fit(x, y, edges=edges), pii.Trees().fit(each[:, :3], each[:, 3].astype(int), n, edges)
+    assert np.allclose(a.score(x), b.score(x))
