@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ VISUAL = "|".join([
 ROMANS = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(x, f"^{BLANK}+|{BLANK}+$", "")
 
@@ -237,24 +244,30 @@ def prompt_route(n_parents: Column, heading: Column, html: Column) -> Column:
     return F.when((n_parents == 0) & heading.isNull(), "TOP_LEVEL").when(F.length(html) < ONE_PASS_CHARS, "NO_DEFERRAL").otherwise("STANDARD")
 
 
+def parse_bounds(text: Column) -> Column:
+    """struct<bounds, error>: "0-3,5" as [(0, 3), (5, 5)], sorted, repeats kept; bounds null where the text is wrong. Never as long as the ranges are wide."""
+    # fixed values: what may be wrong with a part, the first in this order counts
+    errors = ["Non-numeric value", "Non-numeric values in range", "Start after end"]
+
+    def part(p):
+        span, lo, hi = p.contains("-"), F.regexp_extract(p, "^([0-9]+)", 1).try_cast("int"), strip(F.regexp_extract(p, "-(.*)$", 1)).try_cast("int")
+        single, double = p.rlike("^[0-9]{1,9}$"), p.rlike("^[0-9]{1,9}[ ]*-[ ]*[0-9]{1,9}$")
+        wrong = F.when(~span & ~single, 0).when(span & ~double, 1).when(span & (lo > hi), 2)
+        return F.struct(lo.alias("lo"), F.when(span, hi).otherwise(lo).alias("hi"), wrong.alias("wrong"))
+
+    def whole(parts):
+        first = F.array_min(F.transform(parts, lambda p: p["wrong"]))
+        bounds = F.array_sort(F.transform(parts, lambda p: F.struct(p["lo"].alias("lo"), p["hi"].alias("hi"))))
+        return F.struct(F.when(first.isNull(), bounds).alias("bounds"), F.get(F.array(*[F.lit(e) for e in errors]), first).alias("error"))
+
+    none = F.struct(F.expr("cast(array() as array<struct<lo: int, hi: int>>)").alias("bounds"), F.lit(None).cast("string").alias("error"))
+    return F.when(strip(text) == "", none).otherwise(bind(F.transform(F.split(text, ",", -1), lambda p: bind(strip(p), part)), whole))
+
+
 def parse_ranges(text: Column) -> Column:
     """struct<ids, error>: "0-3,5" as [0,1,2,3,5], sorted, repeats kept; ids null where the text is wrong."""
-    parts = F.transform(F.split(text, ",", -1), strip)
-    lo = lambda p: F.regexp_extract(p, "^([0-9]+)", 1)
-    hi = lambda p: F.when(p.contains("-"), strip(F.regexp_extract(p, "-(.*)$", 1))).otherwise(lo(p))
-    single = lambda p: p.rlike("^[0-9]{1,9}$")
-    double = lambda p: p.rlike("^[0-9]{1,9}[ ]*-[ ]*[0-9]{1,9}$")
-    down = lambda p: double(p) & (lo(p).try_cast("int") > hi(p).try_cast("int"))
-    blank = strip(text) == ""
-    error = (
-        F.when(blank, F.lit(None).cast("string"))
-        .when(F.exists(parts, lambda p: ~p.contains("-") & ~single(p)), "Non-numeric value")
-        .when(F.exists(parts, lambda p: p.contains("-") & ~double(p)), "Non-numeric values in range")
-        .when(F.exists(parts, down), "Start after end")
-    )
-    ids = F.array_sort(F.flatten(F.transform(parts, lambda p: F.sequence(lo(p).try_cast("int"), F.greatest(lo(p).try_cast("int"), hi(p).try_cast("int"))))))
-    none = F.expr("cast(array() as array<int>)")
-    return F.struct(F.when(blank, none).when(error.isNull(), ids).alias("ids"), error.alias("error"))
+    ids = lambda b: F.array_sort(F.flatten(F.transform(b["bounds"], lambda r: F.sequence(r["lo"], r["hi"]))))
+    return bind(parse_bounds(text), lambda b: F.struct(ids(b).alias("ids"), b["error"].alias("error")))
 
 
 def format_ranges(ids: Column) -> Column:

@@ -23,12 +23,12 @@ LONGEST = 3 * 64000
 
 def _fields(response: Column, schema: str) -> Column:
     """The JSON object of a response (fenced or not) by schema; null where it is none."""
-    found = F.from_json(X.de_fence(response), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    return F.when(found["_bad"].isNull() & X.de_fence(response).startswith("{"), found)
+    found = lambda x: F.from_json(x, f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return X.bind(X.de_fence(response), lambda x: F.when(x.startswith("{"), X.bind(found(x), lambda f: F.when(f["_bad"].isNull(), f))))
 
 
 def _answer(error: Column, result: Column) -> Column:
-    return F.struct(error.cast("string").alias("error"), F.when(error.isNull(), result.cast("string")).alias("result"))
+    return X.bind(error.cast("string"), lambda e: F.struct(e.alias("error"), F.when(e.isNull(), result.cast("string")).alias("result")))
 
 
 def page_mapping(response: Column) -> Column:
@@ -52,47 +52,70 @@ def image_description(response: Column) -> Column:
     return _answer(error, F.concat_ws(": ", got["label"], got["description"]))
 
 
-def _covers(ids: Column, total: Column, doubles_first: bool) -> Column:
-    """Why ids are not 0 .. total - 1, each once; null if they are."""
-    twice = F.size(ids) > F.size(F.array_distinct(ids))
-    whole = F.when(total > 0, F.sequence(F.lit(0), total.cast("int") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    off = (F.size(F.array_except(ids, whole)) > 0) | (F.size(F.array_except(whole, ids)) > 0)
-    return F.when(twice, "duplicate ids").when(off, "coverage") if doubles_first else F.when(off, "coverage").when(twice, "duplicate ids")
+def _covers(bounds: Column, total: Column, doubles_first: bool) -> Column:
+    """Why id ranges are not 0 .. total - 1, each id once; null if they are. One walk over the sorted bounds, no ids are made."""
+
+    def step(a, r):
+        return F.struct(F.greatest(a["reach"], r["hi"]).alias("reach"), (a["gap"] | (r["lo"] > a["reach"] + 1)).alias("gap"), (a["twice"] | (r["lo"] <= a["reach"])).alias("twice"))
+
+    def reason(a):
+        off = a["gap"] | (a["reach"] != F.greatest(F.coalesce(total, F.lit(0)), F.lit(0)) - 1)
+        return F.when(a["twice"], "duplicate ids").when(off, "coverage") if doubles_first else F.when(off, "coverage").when(a["twice"], "duplicate ids")
+
+    start = F.struct(F.lit(-1).alias("reach"), F.lit(False).alias("gap"), F.lit(False).alias("twice"))
+    return F.aggregate(F.array_sort(bounds), start, step, reason)
 
 
 def top_level_structure(response: Column, total: Column) -> Column:
     """Three id ranges (header, main, footer) that share out the blocks 0 .. total - 1; result: the three as JSON."""
-    got = _fields(response, "header string, main string, footer string")
-    parts = [X.parse_ranges(got[f]) for f in ("header", "main", "footer")]
-    missing = got.isNull() | got["header"].isNull() | got["main"].isNull() | got["footer"].isNull()
-    wrong = F.coalesce(*[p["error"] for p in parts])
-    ids = F.concat(*[p["ids"] for p in parts])
-    error = F.when(missing, "no JSON of three ranges").when(wrong.isNotNull(), wrong).otherwise(_covers(ids, total, True))
-    return _answer(error, F.to_json(F.struct(got["header"].alias("header"), got["main"].alias("main"), got["footer"].alias("footer"))))
+    names = ("header", "main", "footer")
+
+    def check(got):
+        def judge(parts):
+            missing = F.coalesce(got.isNull() | got["header"].isNull() | got["main"].isNull() | got["footer"].isNull(), F.lit(True))
+            wrong = F.coalesce(*[parts[k]["error"] for k in range(3)])
+            return F.when(missing, "no JSON of three ranges").when(wrong.isNotNull(), wrong).otherwise(_covers(F.flatten(F.transform(parts, lambda p: p["bounds"])), total, True))
+
+        error = X.bind(F.array(*[X.parse_bounds(got[f]) for f in names]), judge)
+        return _answer(error, F.to_json(F.struct(*[got[f].alias(f) for f in names])))
+
+    return X.bind(_fields(response, "header string, main string, footer string"), check)
+
+
+def lines_by_id(html: Column) -> Column:
+    """The lines of a flat HTML, one tag a line, of the ids 0, 1 and so on up to the first that has none; the first line if several have one id."""
 
+    def named(x, i):
+        return X.bind(F.regexp_extract(x, '^.+ id="([0-9]+)".+$', 1), lambda d: F.struct(F.when(d.try_cast("int").cast("string") == d, d.try_cast("int")).alias("id"), i.alias("i"), x.alias("line")))
 
-def group_html(lines: Column, ids: Column) -> Column:
-    """The lines of a flat HTML with these ids, one tag a line, the first if several have one; null where an id has none."""
-    named = F.transform(lines, lambda x: F.regexp_extract(x, '^.+ id="([0-9]+)".+$', 1))
-    pairs = F.arrays_zip(named.alias("id"), lines.alias("line"))
-    first = F.filter(pairs, lambda p, i: (p["id"] != "") & (F.array_position(named, p["id"]) == i + 1))
-    own = F.map_from_entries(first)
-    return F.when(~F.exists(ids, lambda i: own[i.cast("string")].isNull()), F.array_join(F.transform(ids, lambda i: own[i.cast("string")]), "\n"))
+    rows = F.array_sort(F.filter(F.transform(F.split(html, "\n", -1), named), lambda p: p["id"].isNotNull()))
+    first = X.bind(rows, lambda r: F.filter(r, lambda p, i: F.when(i > 0, F.get(r, i - 1)["id"] != p["id"]).otherwise(True)))
+    return F.transform(F.filter(first, lambda p, i: p["id"] == i), lambda p: p["line"])
+
+
+def group_html(own: Column, bounds: Column) -> Column:
+    """The lines of id ranges out of lines_by_id; null where an id has none."""
+    found = F.forall(bounds, lambda r: r["hi"] < F.size(own))
+    return F.when(found, F.array_join(F.flatten(F.transform(F.array_sort(bounds), lambda r: F.slice(own, r["lo"] + 1, r["hi"] - r["lo"] + 1))), "\n"))
 
 
 def split_groups(response: Column, total: Column, html: Column) -> Column:
     """Groups of ids (range, tag) that share out the blocks, each id a line of the HTML, no group too long; result: the groups as JSON."""
-    got = _fields(response, "groups array<struct<range:string,tag:string>>")["groups"]
-    lines = F.split(html, "\n", -1)
-    odd = F.exists(got, lambda g: ~F.coalesce(X.valid_range_text(g["range"]), F.lit(False)) | ~F.coalesce(g["tag"].isin(SECTION_TAGS), F.lit(True)))
-    wrong = F.get(F.filter(F.transform(got, lambda g: X.parse_ranges(g["range"])["error"]), lambda e: e.isNotNull()), F.lit(0))
-    ids = F.flatten(F.transform(got, lambda g: X.parse_ranges(g["range"])["ids"]))
-    parts = F.transform(got, lambda g: group_html(lines, X.parse_ranges(g["range"])["ids"]))
-    error = (
-        F.when(got.isNull(), "no JSON of groups").when(odd, "range or tag").when(wrong.isNotNull(), wrong).when(_covers(ids, total, False).isNotNull(), _covers(ids, total, False))
-        .when(F.exists(parts, lambda p: p.isNull()), "id not found").when(F.exists(parts, lambda p: F.length(p) > LONGEST), "too long")
-    )
-    return _answer(error, F.to_json(got))
+
+    def check(got):
+        odd = F.exists(got, lambda g: ~F.coalesce(X.valid_range_text(g["range"]), F.lit(False)) | ~F.coalesce(g["tag"].isin(SECTION_TAGS), F.lit(True)))
+
+        def judge(parts):
+            wrong = F.get(F.filter(F.transform(parts, lambda p: p["error"]), lambda e: e.isNotNull()), F.lit(0))
+            covers = _covers(F.flatten(F.transform(parts, lambda p: p["bounds"])), total, False)
+            lengths = X.bind(lines_by_id(html), lambda own: F.transform(parts, lambda p: F.length(group_html(own, p["bounds"]))))
+            lost = lambda n: F.when(F.exists(n, lambda k: k.isNull()), "id not found").when(F.exists(n, lambda k: k > LONGEST), "too long")
+            return X.bind(F.coalesce(wrong, covers), lambda e: F.when(e.isNotNull(), e).otherwise(X.bind(lengths, lost)))
+
+        error = F.when(got.isNull(), "no JSON of groups").when(odd, "range or tag").otherwise(X.bind(F.transform(got, lambda g: X.parse_bounds(g["range"])), judge))
+        return _answer(error, F.to_json(got))
+
+    return X.bind(_fields(response, "groups array<struct<range:string,tag:string>>")["groups"], check)
 
 
 def restructured_html(response: Column) -> Column:
@@ -144,7 +167,10 @@ def job_output(jobs: DataFrame, files: DataFrame) -> DataFrame:
 def sections(settled: DataFrame, html: str) -> DataFrame:
     """request_key, section, tag, html: the sections of settled split_groups, each in its tag if it has one."""
     groups = F.from_json("result", "array<struct<range:string,tag:string>>")
-    g = settled.filter("status = 'ok'").select("request_key", F.split(F.col(html), "\n", -1).alias("lines"), F.posexplode(groups).alias("section", "g"))
-    inner = group_html(F.col("lines"), X.parse_ranges(F.col("g.range"))["ids"])
-    whole = F.when(F.col("g.tag").isNotNull(), F.concat(F.lit("<"), F.col("g.tag"), F.lit(">\n"), inner, F.lit("\n</"), F.col("g.tag"), F.lit(">"))).otherwise(inner)
-    return g.select("request_key", "section", F.col("g.tag").alias("tag"), whole.alias("html"))
+
+    def show(own, g):
+        return X.bind(group_html(own, X.parse_bounds(g["range"])["bounds"]), lambda inner: F.struct(
+            g["tag"].alias("tag"), F.when(g["tag"].isNotNull(), F.concat(F.lit("<"), g["tag"], F.lit(">\n"), inner, F.lit("\n</"), g["tag"], F.lit(">"))).otherwise(inner).alias("html")))
+
+    parts = X.bind(lines_by_id(F.col(html)), lambda own: F.transform(groups, lambda g: show(own, g)))
+    return settled.filter("status = 'ok'").select("request_key", F.posexplode(parts).alias("section", "g")).select("request_key", "section", "g.tag", "g.html")
