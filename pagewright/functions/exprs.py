@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 BLANK = "[ \\t\\n\\r\\f\\x0B]"
 HEADER, FOOTER = "Page header", "Page footer"
 MARGIN = 72
-# fixed values: what points to a chart, matched against upper-cased text (word borders are ASCII)
-_EDGE, _END = "(^|[^A-Z0-9_])", "([^A-Z0-9_]|$)"
+# fixed values: what points to a chart, matched against upper-cased text (word borders are ASCII); what a place may start with
+# comes before any choice, so a place in a word costs one look
 VISUAL = "|".join([
-    f"{_EDGE}[0-9]{{4}}{_END}",
-    f"{_EDGE}(JAN|FEB|MAR|APR|MAY|JUN|JUL|AUG|SEP|OCT|NOV|DEC){_END}",
-    "[0-9]+%",
-    "\\$[0-9]+",
-    f"{_EDGE}[0-9]+\\.[0-9]+{_END}",
-    f"{_EDGE}[0-9]+[KMB]{_END}",
+    "[0-9]%",
+    "\\$[0-9]",
+    "(?<![A-Z0-9_])(?=[0-9JFMASOND])(?:[0-9]{4}|JAN|FEB|MAR|APR|MAY|JUN|JUL|AUG|SEP|OCT|NOV|DEC|[0-9]+\\.[0-9]+|[0-9]+[KMB])(?![A-Z0-9_])",
 ])
 ROMANS = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
 
@@ -29,7 +26,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(x, F.lit(" \t\n\r\f\x0b"))
 
 
 def strip_or_null(x: Column) -> Column:
@@ -126,12 +123,16 @@ def match_form(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit("[^ \\t\\n\\r\\f\\x0B]+"))
+    return F.array_size(F.array_remove(F.split(F.translate(text, "\t\n\r\f\x0b", "     "), " ", -1), ""))
+
+
+def n_line_ends(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
 def text_patterns(text: Column) -> Column:
     stripped = strip(text)
-    lines = F.regexp_count(text, F.lit("\\n"))
+    lines = n_line_ends(text)
     ratio = (lines > 0) & (lines / F.greatest(n_words(text), F.lit(1)) > 0.3)
     visual = F.upper(text).rlike(VISUAL)
     return F.struct(
@@ -143,7 +144,7 @@ def text_patterns(text: Column) -> Column:
 def suggests_visual(text: Column) -> Column:
     """suggests_visual of text_patterns() alone; the pattern is tried on short texts only."""
     stripped = strip(text)
-    lines = F.regexp_count(text, F.lit("\\n"))
+    lines = n_line_ends(text)
     ratio = (lines > 0) & (lines / F.greatest(n_words(text), F.lit(1)) > 0.3)
     return (stripped != "") & (ratio | F.when(F.length(stripped) < 50, F.upper(text).rlike(VISUAL)).otherwise(False))
 
