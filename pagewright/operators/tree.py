@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,48 +69,95 @@ def render_leaf(tag, text, description):
     return F.when(tag == "img", img).otherwise(F.concat(F.lit("<"), tag, F.lit(">"), X.html_escape(F.coalesce(text, F.lit(""))), F.lit("</"), tag, F.lit(">")))
 
 
-def render_documents(nodes: DataFrame) -> DataFrame:
-    """doc_id, html: every document rendered from its nodes, level by level from the leaves up.
+def _by_document(nodes: DataFrame, fields: list[str], render: Callable[[list[tuple]], str]) -> DataFrame:
+    """doc_id, html: render of the rows (node_id, parent_id, *fields) of each document in order of seq and node_id.
 
-    A node with children shows the children only, in order; empty fragments are skipped.
+    Rows come sorted and in batches of bounded size: a task holds one document and some finished ones.
     """
-    leafs = nodes.withColumn("html", render_leaf(F.col("tag"), F.col("text_content"), F.col("description")))
+    kind = nodes.schema["doc_id"].dataType.simpleString()
 
-    def render(batch: pd.DataFrame) -> pd.DataFrame:
-        below: dict = {}
-        rows = batch.sort_values(["seq", "node_id"])
-        for r in rows.itertuples():
-            below.setdefault(None if pd.isna(r.parent_id) else int(r.parent_id), []).append((int(r.node_id), r.tag, r.html))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, keys, texts, held = None, [], [], 0
 
-        def show(key) -> str:
-            out = []
-            for n, tag, html in below.get(key, []):
-                inner = show(n)
-                out.append(f"<{tag}>\n{inner}\n</{tag}>" if n in below else html)
-            return "\n".join(x for x in out if x)
+        def rows():
+            nonlocal of
+            for b in batches:
+                of = b.schema.field(0).type
+                yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
 
-        return pd.DataFrame({"doc_id": [batch["doc_id"].iloc[0]], "html": [show(None)]})
+        for key, own in groupby(rows(), lambda r: r[0]):
+            keys.append(key)
+            texts.append(render([r[1:] for r in own]))
+            held += len(texts[-1])
+            if held > 4_000_000 or len(keys) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, of), pa.array(texts, pa.string())], names=["doc_id", "html"])
+                keys, texts, held = [], [], 0
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(keys, of), pa.array(texts, pa.string())], names=["doc_id", "html"])
 
-    return leafs.select("doc_id", "node_id", "parent_id", "seq", "tag", "html").groupBy("doc_id").applyInPandas(render, "doc_id long, html string")
+    order = ["doc_id", F.col("seq").asc_nulls_last(), F.col("node_id").asc_nulls_last()]
+    rows = nodes.select("doc_id", "node_id", "parent_id", *fields, "seq").repartition("doc_id").sortWithinPartitions(*order).drop("seq")
+    return rows.mapInArrow(run, f"doc_id {kind}, html string")
 
 
-def node_tree_to_html(nodes: DataFrame) -> DataFrame:
-    """doc_id, html in the plain form used for prompts: a node with text shows the text and drops its children."""
+def _below(rows: list[tuple]) -> dict:
+    below: dict = {}
+    for r in rows:
+        below.setdefault(r[1], []).append(r)
+    return below
 
-    def render(batch: pd.DataFrame) -> pd.DataFrame:
-        below: dict = {}
-        for r in batch.sort_values(["seq", "node_id"]).itertuples():
-            below.setdefault(None if pd.isna(r.parent_id) else int(r.parent_id), []).append(r)
 
-        def show(r) -> str:
-            if r.tag == "img":
-                return f'<img src="" alt="{r.description or ""}" />'
-            inner = r.text_content if r.text_content else "\n".join(show(c) for c in below.get(int(r.node_id), []))
-            return f"<{r.tag}>{inner}</{r.tag}>"
+def render_documents(nodes: DataFrame) -> DataFrame:
+    """doc_id, html: every document rendered from its nodes; by a stack, so any depth will do.
 
-        return pd.DataFrame({"doc_id": [batch["doc_id"].iloc[0]], "html": ["\n".join(show(r) for r in below.get(None, []))]})
+    A node with children shows the children only, in order; empty fragments are skipped.
+    """
+    leafs = nodes.withColumn("html", render_leaf(F.col("tag"), F.col("text_content"), F.col("description")))
+
+    def render(rows: list[tuple]) -> str:
+        below = _below(rows)
+        # an open level: the tag around it, the nodes left, the fragments so far
+        stack = [(None, iter(below.get(None, [])), [])]
+        while True:
+            tag, left, out = stack[-1]
+            r = next(left, None)
+            if r is None:
+                stack.pop()
+                inner = "\n".join(out)
+                if not stack:
+                    return inner
+                stack[-1][2].append(f"<{tag}>\n{inner}\n</{tag}>")
+            elif r[0] is not None and r[0] in below:
+                stack.append((r[2], iter(below[r[0]]), []))
+            elif r[3]:
+                out.append(r[3])
+
+    return _by_document(leafs, ["tag", "html"], render)
 
-    return nodes.select("doc_id", "node_id", "parent_id", "seq", "tag", "text_content", "description").groupBy("doc_id").applyInPandas(render, "doc_id long, html string")
+
+def node_tree_to_html(nodes: DataFrame) -> DataFrame:
+    """doc_id, html in the plain form used for prompts: a node with text shows the text and drops its children; by a stack, so any depth will do."""
+
+    def render(rows: list[tuple]) -> str:
+        below = _below(rows)
+        stack = [(None, iter(below.get(None, [])), [])]
+        while True:
+            tag, left, out = stack[-1]
+            r = next(left, None)
+            if r is None:
+                stack.pop()
+                inner = "\n".join(out)
+                if not stack:
+                    return inner
+                stack[-1][2].append(f"<{tag}>{inner}</{tag}>")
+            elif r[2] == "img":
+                out.append(f'<img src="" alt="{r[4] or ""}" />')
+            elif r[3]:
+                out.append(f"<{r[2]}>{r[3]}</{r[2]}>")
+            else:
+                stack.append((r[2], iter(below.get(r[0], []) if r[0] is not None else []), []))
+
+    return _by_document(nodes, ["tag", "text_content", "description"], render)
 
 
 def top_level_only(nodes: DataFrame, marked) -> DataFrame:
