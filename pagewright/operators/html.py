@@ -17,6 +17,8 @@ NODE_TAGS = "header main footer figure figcaption table thead tbody tfoot th tr
 INLINE_TAGS = "b i u s sup sub br".split()
 # fixed values: elements without an end tag
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# characters of node rows that a task holds
+HELD = 4_000_000
 ELEMENTS = "ord int, parent int, depth int, tag string, attrs map<string,string>, own_text string, n_children int"
 
 
@@ -172,20 +174,21 @@ def create_nodes(pages: DataFrame, key: str, html: str, paths: bool = False) ->
         for b in batches:
             of = b.schema.field(0).type
             keys, rows, held = [], [], 0
-            for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = nodes_of(h)
+            for at in range(b.num_rows):
+                k, found = b.column(0)[at].as_py(), nodes_of(b.column(1)[at].as_py())
                 up = {r[0]: r[1] for r in found} if paths else {}
                 for r in found:
                     if paths:
-                        path, at = [], r[0]
-                        while at is not None:
-                            path.append(at)
-                            at = up[at]
+                        path, n = [], r[0]
+                        while n is not None:
+                            path.append(n)
+                            n = up[n]
                         r = (*r, path[::-1])
-                        held += len(path)
+                    # some 100 characters of memory go to a row, and 10 to a step of its path
+                    held += 100 + len(r[5] or "") + 10 * len(r[-1] if paths else ())
                     keys.append(k)
                     rows.append(r)
-                    if held > 1_000_000:
+                    if held > HELD:
                         yield table(keys, rows, of)
                         keys, rows, held = [], [], 0
             yield table(keys, rows, of)
