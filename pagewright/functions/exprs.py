@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 BLANK = "[ \\t\\n\\r\\f\\x0B]"
 HEADER, FOOTER = "Page header", "Page footer"
 MARGIN = 72
-# fixed values: what points to a chart, matched against upper-cased text (word borders are ASCII); what a place may start with
-# comes before any choice, so a place in a word costs one look
+# fixed values: what points to a chart, matched against upper-cased text (word borders are ASCII)
+_EDGE, _END = "(^|[^A-Z0-9_])", "([^A-Z0-9_]|$)"
 VISUAL = "|".join([
+    f"{_EDGE}[0-9]{{4}}{_END}",
+    f"{_EDGE}(JAN|FEB|MAR|APR|MAY|JUN|JUL|AUG|SEP|OCT|NOV|DEC){_END}",
+    "[0-9]+%",
+    "\\$[0-9]+",
+    f"{_EDGE}[0-9]+\\.[0-9]+{_END}",
+    f"{_EDGE}[0-9]+[KMB]{_END}",
+])
+# the same texts as VISUAL has; what a place may start with comes before any choice, so a place in a word costs one look
+_VISUAL = "|".join([
     "[0-9]%",
     "\\$[0-9]",
     "(?<![A-Z0-9_])(?=[0-9JFMASOND])(?:[0-9]{4}|JAN|FEB|MAR|APR|MAY|JUN|JUL|AUG|SEP|OCT|NOV|DEC|[0-9]+\\.[0-9]+|[0-9]+[KMB])(?![A-Z0-9_])",
@@ -134,7 +143,7 @@ def text_patterns(text: Column) -> Column:
     stripped = strip(text)
     lines = n_line_ends(text)
     ratio = (lines > 0) & (lines / F.greatest(n_words(text), F.lit(1)) > 0.3)
-    visual = F.upper(text).rlike(VISUAL)
+    visual = F.upper(text).rlike(_VISUAL)
     return F.struct(
         (stripped == "").alias("is_empty"), ratio.alias("many_lines"), visual.alias("visual"), F.length(stripped).cast("long").alias("n_chars"), n_words(text).cast("long").alias("n_words"),
         ((stripped != "") & (ratio | (visual & (F.length(stripped) < 50)))).alias("suggests_visual"),
@@ -146,7 +155,7 @@ def suggests_visual(text: Column) -> Column:
     stripped = strip(text)
     lines = n_line_ends(text)
     ratio = (lines > 0) & (lines / F.greatest(n_words(text), F.lit(1)) > 0.3)
-    return (stripped != "") & (ratio | F.when(F.length(stripped) < 50, F.upper(text).rlike(VISUAL)).otherwise(False))
+    return (stripped != "") & (ratio | F.when(F.length(stripped) < 50, F.upper(text).rlike(_VISUAL)).otherwise(False))
 
 
 def worth_asking(text: Column) -> Column:
